@@ -1,0 +1,62 @@
+"""Joins from many rows to one, safe where a few keys hold a large part of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+# Rows of one key that a single join task may take.
+ROWS_PER_TASK = 2_000_000
+# Heavy keys looked for, and keys the sketch tracks. It finds every key above about 0.02 % of
+# the rows, and the list it returns never exceeds MAX_HOT_KEYS.
+MAX_HOT_KEYS = 1_000
+_TRACKED_KEYS = 20_000
+
+HotKeys = dict[object, int]
+
+
+def hot_keys(
+    rows: DataFrame, *columns: str, rows_per_task: int = ROWS_PER_TASK
+) -> dict[str, HotKeys]:
+    """Per column, the keys with more than ``rows_per_task`` rows and the tasks they need.
+
+    One pass over the key columns with a mergeable frequent-items sketch: nothing is shuffled
+    but the sketches, and only the bounded list comes back.
+    """
+    sketches = rows.agg(
+        *(F.expr(f"approx_top_k(`{c}`, {MAX_HOT_KEYS}, {_TRACKED_KEYS})").alias(c) for c in columns)
+    ).first()
+    return {
+        c: {
+            entry["item"]: -(-entry["count"] // rows_per_task)
+            for entry in sketches[c] or []
+            if entry["item"] is not None and entry["count"] > rows_per_task
+        }
+        for c in columns
+    }
+
+
+def lookup(rows: DataFrame, one: DataFrame, key: str, hot: HotKeys, spread: Column) -> DataFrame:
+    """Inner join of ``rows`` with ``one``, which has at most one row per ``key``.
+
+    Without hot keys this is the plain join. Otherwise the rows of a hot key are split by
+    ``spread`` over several tasks and only the hot rows of ``one`` are repeated to match; the
+    broadcast list has at most MAX_HOT_KEYS rows. Every row is kept, whichever keys are listed.
+    """
+    if not hot:
+        return rows.join(one, key)
+    schema = StructType([rows.schema[key], StructField("_parts", IntegerType())])
+    parts = F.broadcast(rows.sparkSession.createDataFrame(list(hot.items()), schema))
+    n_parts = F.coalesce(F.col("_parts"), F.lit(1))
+    split_rows = (
+        rows.join(parts, key, "left")
+        .withColumn("_part", F.pmod(spread, n_parts).cast("int"))
+        .drop("_parts")
+    )
+    repeated = (
+        one.join(parts, key, "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
+        .drop("_parts")
+    )
+    return split_rows.join(repeated, [key, "_part"]).drop("_part")
