@@ -11,7 +11,8 @@ from promolens.schemas import SPECS
 TABLES = {
     "creators": """
         SELECT c_custkey AS creator_id, c_name AS name,
-               'u' || CAST(FLOOR(c_acctbal) AS BIGINT) || '@example.com' AS email,
+               'u' || (c_custkey - CASE WHEN c_custkey % 50 = 49 THEN 1 ELSE 0 END)
+                   || '@example.com' AS email,
                CAST(NULL AS VARCHAR) AS channel_category, 'India' AS country,
                repeat('ab', c_nationkey + 2) AS city,
                DATE '1994-07-01' + CAST(c_custkey % 600 AS INTEGER) AS signup_date,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Rows of one key that a single join task may take.
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 500_000
 # Heavy keys looked for, and keys the sketch tracks. It finds every key above about 0.02 % of
 # the rows, and the list it returns never exceeds MAX_HOT_KEYS.
 MAX_HOT_KEYS = 1_000

@@ -41,7 +41,7 @@ class StarTables:
         shaped = self._read("customer").selectExpr(
             "c_custkey AS creator_id",
             "c_name AS name",
-            "concat('u', CAST(FLOOR(c_acctbal) AS BIGINT), '@example.com') AS email",
+            "concat('u', c_custkey - IF(c_custkey % 50 = 49, 1, 0), '@example.com') AS email",
             "repeat('ab', c_nationkey + 2) AS city",
             "date_add(DATE'1994-07-01', CAST(c_custkey % 600 AS INT)) AS signup_date",
             "c_mktsegment AS plan_type",

@@ -46,3 +46,8 @@ class CampaignTables:
         """Name and data of every table that is present."""
         present = ((name, getattr(self, name)) for name in SPECS)
         return [(name, df) for name, df in present if df is not None]
+
+    def register_views(self) -> None:
+        """Make the tables available to Spark SQL under their own names."""
+        for name, df in self.items():
+            df.createOrReplaceTempView(name)
