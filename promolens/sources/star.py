@@ -19,6 +19,26 @@ from promolens.sources.tables import CampaignTables
 HOME_BRAND = "ASIA"
 UPGRADED_PLANS = ("BUILDING", "MACHINERY")
 
+# Columns in use, declared so that no file is opened to find them out.
+_SCHEMAS = {
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_size INT",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING"
+    ),
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+}
+
 _START_DATE = "CAST(o_orderdate AS DATE)"
 _SPEND = (
     "CASE WHEN l_discount = 0 THEN CAST(0 AS DECIMAL(10,2)) "
@@ -35,7 +55,8 @@ class StarTables:
         self._folder = folder
 
     def _read(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        reader = self._spark.read.schema(_SCHEMAS[table])
+        return reader.parquet(f"{self._folder}/{table}.parquet")
 
     def creators(self) -> DataFrame:
         shaped = self._read("customer").selectExpr(
