@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions import completed_months
+from promolens.functions import completed_months, ratio, round_to, year_month
 
 
 def first_campaigns(campaigns: DataFrame) -> DataFrame:
@@ -16,6 +17,53 @@ def first_campaigns(campaigns: DataFrame) -> DataFrame:
     return campaigns.groupBy("creator_id").agg(F.min("start_date").alias("first_start"))
 
 
+def cohort_activation(
+    creators: DataFrame,
+    campaigns: DataFrame,
+    months: Sequence[int] = (1, 2, 3, 6),
+    shares: Sequence[int] = (1, 3),
+) -> DataFrame:
+    """Per signup month: creators who ran their first campaign within so many whole months.
+
+    ``months`` are the counted limits, ``shares`` those that are also given in percent.
+    """
+    gap = completed_months(F.col("signup_date"), F.col("first_start"))
+
+    def share(n: int) -> Column:
+        return round_to(ratio(F.col(f"retained_m{n}") * 100, F.col("cohort_size")), 1)
+
+    return (
+        creators.select("creator_id", "signup_date")
+        .join(first_campaigns(campaigns), "creator_id", "left")
+        .select(
+            "creator_id", year_month(F.col("signup_date")).alias("cohort_month"), gap.alias("gap")
+        )
+        .groupBy("cohort_month")
+        .agg(
+            F.count("creator_id").alias("cohort_size"),
+            *(F.count_if(F.col("gap") <= n).alias(f"retained_m{n}") for n in months),
+        )
+        .withColumns({f"pct_m{n}": share(n) for n in shares})
+    )
+
+
+def activation_days(creators: DataFrame, campaigns: DataFrame, by: str) -> DataFrame:
+    """Days from signup to the first campaign, per ``by``; creators without one are left out."""
+    days = F.datediff(F.col("first_start"), F.col("signup_date"))
+    return (
+        creators.join(first_campaigns(campaigns), "creator_id")
+        .select(by, days.alias("days"))
+        .groupBy(by)
+        .agg(
+            F.count("*").alias("creators"),
+            round_to(ratio(F.sum("days"), F.count("days")), 0).alias("avg_days_to_activation"),
+            F.min("days").alias("min_days"),
+            F.max("days").alias("max_days"),
+            round_to(F.stddev_pop("days"), 0).alias("stddev_days"),
+        )
+    )
+
+
 def creator_tenure(creators: DataFrame, events: DataFrame, as_of: dt.date) -> DataFrame:
     """Creators with ``tenure_months``: to ``as_of`` if active, else to the first churn event.
 
@@ -32,6 +80,23 @@ def creator_tenure(creators: DataFrame, events: DataFrame, as_of: dt.date) -> Da
     )
 
 
+def tenure_ltv(creators: DataFrame, events: DataFrame, as_of: dt.date, by: str) -> DataFrame:
+    """Average monthly revenue times average tenure, per ``by``."""
+    mrr = ratio(F.sum("monthly_revenue"), F.count("monthly_revenue"))
+    tenure = ratio(F.sum("tenure_months"), F.count("tenure_months"))
+    return (
+        creator_tenure(creators, events, as_of)
+        .groupBy(by)
+        .agg(
+            F.count("*").alias("creator_count"),
+            round_to(mrr, 2).alias("avg_monthly_revenue_usd"),
+            round_to(tenure, 1).alias("avg_tenure_months"),
+            round_to(mrr * tenure, 2).alias("estimated_ltv_usd"),
+            round_to(mrr * 12, 2).alias("annualised_arpu_usd"),
+        )
+    )
+
+
 @dataclass(frozen=True)
 class RiskLabels:
     high: str = "HIGH"
@@ -65,7 +130,9 @@ def churn_signals(
     day, start = F.col("metric_date"), F.col("last_start")
     week_end = F.date_add(start, week_days)
     first_week = day.between(start, week_end) if from_start_only else day <= week_end
-    views_if = lambda condition: F.sum(F.when(condition, F.col("views")).otherwise(0))
+
+    def views_if(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("views")).otherwise(0))
 
     trend = (
         creators.filter("is_active")

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from promolens.functions import ratio, round_to
+
 
 def _checkpoint_folder(spark: SparkSession) -> None:
     """Use the folder the cluster names; a local session without one gets a folder of its own."""
@@ -64,6 +66,28 @@ def distributed_ntile(df: DataFrame, order: Sequence[Column], tiles: int, name:
     )
 
 
+def concentration(df: DataFrame, key: str, measure: str, tiles: int = 5) -> DataFrame:
+    """Share of ``measure`` held by each of ``tiles`` equal groups, largest holders first.
+
+    Equal amounts are ordered by ``key``, which has to be unique.
+    """
+    order = (F.col(measure).desc_nulls_last(), F.col(key).asc())
+    per_tile = (
+        distributed_ntile(df.select(key, measure), order, tiles, "tile")
+        .groupBy("tile")
+        .agg(F.count("*").alias("members"), F.sum(measure).alias("total"))
+    )
+    # The windows run over one row per tile.
+    platform = F.sum("total").over(Window.partitionBy())
+    running = F.sum("total").over(Window.orderBy("tile"))
+    return per_tile.withColumns(
+        {
+            "share_pct": round_to(ratio(F.col("total") * 100, platform), 1),
+            "cumulative_pct": round_to(ratio(running * 100, platform), 1),
+        }
+    )
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """First ``k`` rows in ``order``; each task keeps only its own best ``k``."""
     return df.orderBy(*order).limit(k)

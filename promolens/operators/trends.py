@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,14 @@ def previous(measure: str, period: str) -> Column:
     return F.lag(measure).over(Window.orderBy(period))
 
 
-def growth_pct(df: DataFrame, period: str, measure: str, name: str) -> DataFrame:
-    """Add the change of ``measure`` against the preceding period in percent."""
-    before = previous(measure, period)
-    change = (F.col(measure) - before) * 100
-    return df.withColumn(name, round_to(ratio(change, before), 1))
+def period_growth(df: DataFrame, period: str, changes: Mapping[str, str]) -> DataFrame:
+    """Add the change of each measure against the preceding period in percent.
+
+    ``changes`` maps a measure to the name of its change.
+    """
+
+    def change(measure: str) -> Column:
+        before = previous(measure, period)
+        return round_to(ratio((F.col(measure) - before) * 100, before), 1)
+
+    return df.withColumns({name: change(measure) for measure, name in changes.items()})

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions import completed_months, money, ratio, round_to, year_month
-from promolens.operators.lifecycle import first_campaigns
-from promolens.operators.rollup import one_row
-from promolens.operators.trends import growth_pct, previous
+from promolens.functions import money, ratio, round_to, year_month
+from promolens.operators.funnel import funnel
+from promolens.operators.lifecycle import activation_days, cohort_activation
+from promolens.operators.trends import period_growth, previous
 from promolens.sources.tables import CampaignTables
 
 
@@ -32,45 +32,20 @@ def q01_acquisition_funnel(
         F.count_if(F.col("n") >= 2).alias("ran_multiple_campaigns"),
     )
 
-    def share(stage: str):
-        return round_to(ratio(F.col(stage) * 100, F.col("total_signups")), 1)
-
-    return one_row(signups, activity).select(
-        "total_signups",
-        "ran_one_campaign",
-        share("ran_one_campaign").alias("pct_activated"),
-        "ran_multiple_campaigns",
-        share("ran_multiple_campaigns").alias("pct_repeat"),
-        "upgraded_plan",
-        share("upgraded_plan").alias("pct_upgraded"),
+    return funnel(
+        [signups, activity],
+        first="total_signups",
+        shares={
+            "ran_one_campaign": "pct_activated",
+            "ran_multiple_campaigns": "pct_repeat",
+            "upgraded_plan": "pct_upgraded",
+        },
     )
 
 
 def q03_cohort_activation(t: CampaignTables) -> DataFrame:
     """Per signup month: creators whose first campaign came within 1, 2, 3 and 6 months."""
-    gap = completed_months(F.col("signup_date"), F.col("first_start"))
-    size = F.col("cohort_size")
-
-    def within(months: int):
-        return F.count_if(F.col("months_to_first") <= months).alias(f"retained_m{months}")
-
-    return (
-        t.creators.select("creator_id", "signup_date")
-        .join(first_campaigns(t.campaigns), "creator_id", "left")
-        .withColumn("months_to_first", gap)
-        .groupBy(year_month(F.col("signup_date")).alias("cohort_month"))
-        .agg(
-            F.count("creator_id").alias("cohort_size"),
-            *(within(months) for months in (1, 2, 3, 6)),
-        )
-        .withColumns(
-            {
-                "pct_m1": round_to(ratio(F.col("retained_m1") * 100, size), 1),
-                "pct_m3": round_to(ratio(F.col("retained_m3") * 100, size), 1),
-            }
-        )
-        .orderBy("cohort_month")
-    )
+    return cohort_activation(t.creators, t.campaigns).orderBy("cohort_month")
 
 
 def q07_monthly_growth(t: CampaignTables) -> DataFrame:
@@ -90,23 +65,10 @@ def q07_monthly_growth(t: CampaignTables) -> DataFrame:
         .withColumn("arpu_usd", round_to(ratio(F.col("gmv_usd"), F.col("new_creators")), 2))
         .withColumn("prev_signups", previous("new_creators", "month"))
     )
-    grown = growth_pct(months, "month", "new_creators", "signup_growth_pct")
-    return growth_pct(grown, "month", "gmv_usd", "gmv_growth_pct").orderBy("month")
+    changes = {"new_creators": "signup_growth_pct", "gmv_usd": "gmv_growth_pct"}
+    return period_growth(months, "month", changes).orderBy("month")
 
 
 def q12_time_to_first_campaign(t: CampaignTables) -> DataFrame:
     """Days from signup to the first campaign, per plan."""
-    days = F.datediff(F.col("first_start"), F.col("signup_date"))
-    return (
-        t.creators.join(first_campaigns(t.campaigns), "creator_id")
-        .select("plan_type", days.alias("days"))
-        .groupBy("plan_type")
-        .agg(
-            F.count("*").alias("creators"),
-            round_to(ratio(F.sum("days"), F.count("days")), 0).alias("avg_days_to_activation"),
-            F.min("days").alias("min_days"),
-            F.max("days").alias("max_days"),
-            round_to(F.stddev_pop("days"), 0).alias("stddev_days"),
-        )
-        .orderBy("avg_days_to_activation")
-    )
+    return activation_days(t.creators, t.campaigns, "plan_type").orderBy("avg_days_to_activation")

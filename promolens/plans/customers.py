@@ -4,33 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import money, ratio, round_to
-from promolens.operators.lifecycle import RiskLabels, churn_signals, creator_tenure
+from promolens.operators.lifecycle import RiskLabels, churn_signals, tenure_ltv
 from promolens.operators.lookup import hot_keys, lookup
-from promolens.operators.ranking import distributed_ntile, top_k_ranked
+from promolens.operators.ranking import concentration, top_k_ranked
 from promolens.operators.rollup import campaign_facts, kpi_rollup
 from promolens.sources.tables import CampaignTables
 
 
 def q05_ltv_by_plan(t: CampaignTables, as_of: dt.date) -> DataFrame:
     """Average revenue times average tenure, per plan."""
-    mrr = ratio(F.sum("monthly_revenue"), F.count("monthly_revenue"))
-    tenure = ratio(F.sum("tenure_months"), F.count("tenure_months"))
-    return (
-        creator_tenure(t.creators, t.creator_events, as_of)
-        .groupBy("plan_type")
-        .agg(
-            F.count("*").alias("creator_count"),
-            round_to(mrr, 2).alias("avg_monthly_revenue_usd"),
-            round_to(tenure, 1).alias("avg_tenure_months"),
-            round_to(mrr * tenure, 2).alias("estimated_ltv_usd"),
-            round_to(mrr * 12, 2).alias("annualised_arpu_usd"),
-        )
-        .orderBy(F.desc("estimated_ltv_usd"))
-    )
+    per_plan = tenure_ltv(t.creators, t.creator_events, as_of, "plan_type")
+    return per_plan.orderBy(F.desc("estimated_ltv_usd"))
 
 
 def q06_churn_risk(t: CampaignTables, as_of: dt.date) -> DataFrame:
@@ -109,19 +97,10 @@ def q14_revenue_concentration(t: CampaignTables, tiles: int = 5) -> DataFrame:
         .join(t.creators.select("creator_id"), "creator_id")
         .select("creator_id", F.col("spend_usd").alias("total_spend"))
     )
-    order = (F.col("total_spend").desc_nulls_last(), F.col("creator_id").asc())
-    quintiles = (
-        distributed_ntile(spend, order, tiles, "spend_quintile")
-        .groupBy("spend_quintile")
-        .agg(F.count("*").alias("creator_count"), F.sum("total_spend").alias("spend"))
-    )
-    # From here on there is one row per tile.
-    platform = F.sum("spend").over(Window.partitionBy())
-    running = F.sum("spend").over(Window.orderBy("spend_quintile"))
-    return quintiles.select(
-        "spend_quintile",
-        "creator_count",
-        money(F.col("spend")).alias("quintile_spend"),
-        round_to(ratio(F.col("spend") * 100, platform), 1).alias("pct_of_total_gmv"),
-        round_to(ratio(running * 100, platform), 1).alias("cumulative_pct"),
+    return concentration(spend, "creator_id", "total_spend", tiles).select(
+        F.col("tile").alias("spend_quintile"),
+        F.col("members").alias("creator_count"),
+        money(F.col("total")).alias("quintile_spend"),
+        F.col("share_pct").alias("pct_of_total_gmv"),
+        "cumulative_pct",
     ).orderBy("spend_quintile")
