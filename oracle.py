@@ -240,9 +240,10 @@ _Q07 = f"""
                LAG(new_creators) OVER (ORDER BY j.month) AS creators_before,
                LAG(gmv) OVER (ORDER BY j.month) AS gmv_before
         FROM joined AS j LEFT JOIN launched AS l ON l.month = j.month)
-    SELECT month, new_creators, new_campaigns, {_usd('gmv')} AS gmv_usd,
+    SELECT month, new_creators, CAST(new_campaigns AS DOUBLE) AS new_campaigns,
+           {_usd('gmv')} AS gmv_usd,
            {_rnd(_div('gmv', 'new_creators'), 2)} AS arpu_usd,
-           creators_before AS prev_signups,
+           CAST(creators_before AS DOUBLE) AS prev_signups,
            {_pct('new_creators - creators_before', 'creators_before')} AS signup_growth_pct,
            {_pct('gmv - gmv_before', 'gmv_before')} AS gmv_growth_pct
     FROM paired"""
@@ -418,7 +419,7 @@ _Q16_GS = _scorecard("""
 
 
 def _ingest(table: str) -> str:
-    kinds = {"decimal": "DOUBLE", "date": "VARCHAR"}
+    kinds = {"decimal": "DOUBLE", "date": "VARCHAR", "integer": "BIGINT", "long": "BIGINT"}
     columns = []
     for f in SPECS[table].schema:
         kind = kinds.get(f.dataType.typeName())
