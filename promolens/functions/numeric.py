@@ -25,6 +25,11 @@ def round_to(value: Column, digits: int) -> Column:
     return F.round(value.cast("decimal(24,6)"), digits).cast("double")
 
 
+def percent(numerator: Column, denominator: Column, digits: int = 1) -> Column:
+    """Rounded share in percent, of counts or money; large counts cannot overflow."""
+    return round_to(ratio(numerator.cast("decimal(30,2)") * 100, denominator), digits)
+
+
 def money(value: Column) -> Column:
     """Money total with two exact decimals."""
     return value.cast("decimal(38,2)")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions import ratio, round_to
+from promolens.functions import percent
 from promolens.operators.rollup import one_row
 
 
@@ -19,6 +19,5 @@ def funnel(counts: list[DataFrame], first: str, shares: Mapping[str, str]) -> Da
     """
     columns = [F.col(first)]
     for stage, name in shares.items():
-        share = round_to(ratio(F.col(stage) * 100, F.col(first)), 1)
-        columns += [F.col(stage), share.alias(name)]
+        columns += [F.col(stage), percent(F.col(stage), F.col(first)).alias(name)]
     return one_row(*counts).select(*columns)

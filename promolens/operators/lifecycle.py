@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions import completed_months, ratio, round_to, year_month
+from promolens.functions import completed_months, percent, ratio, round_to, year_month
 
 
 def first_campaigns(campaigns: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def cohort_activation(
     gap = completed_months(F.col("signup_date"), F.col("first_start"))
 
     def share(n: int) -> Column:
-        return round_to(ratio(F.col(f"retained_m{n}") * 100, F.col("cohort_size")), 1)
+        return percent(F.col(f"retained_m{n}"), F.col("cohort_size"))
 
     return (
         creators.select("creator_id", "signup_date")

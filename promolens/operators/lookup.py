@@ -8,10 +8,13 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Rows of one key that a single join task may take.
 ROWS_PER_TASK = 500_000
-# Heavy keys looked for, and keys the sketch tracks. It finds every key above about 0.02 % of
-# the rows, and the list it returns never exceeds MAX_HOT_KEYS.
-MAX_HOT_KEYS = 1_000
-_TRACKED_KEYS = 20_000
+# Heavy keys listed, and keys a sketch tracks. The sketch finds every key above about 0.05 % of
+# the rows; the list it returns never exceeds MAX_HOT_KEYS.
+MAX_HOT_KEYS = 500
+_TRACKED_KEYS = 8_192
+# Sketches are merged in so many tasks before the last one: with N scan tasks no task merges more
+# than N / _MERGE_TASKS + _MERGE_TASKS of them.
+_MERGE_TASKS = 512
 
 HotKeys = dict[object, int]
 
@@ -24,13 +27,19 @@ def hot_keys(
     One pass over the key columns with a mergeable frequent-items sketch: nothing is shuffled
     but the sketches, and only the bounded list comes back.
     """
-    sketches = rows.agg(
-        *(F.expr(f"approx_top_k(`{c}`, {MAX_HOT_KEYS}, {_TRACKED_KEYS})").alias(c) for c in columns)
+    per_group = rows.groupBy((F.spark_partition_id() % _MERGE_TASKS).alias("_group")).agg(
+        *(F.expr(f"approx_top_k_accumulate(`{c}`, {_TRACKED_KEYS})").alias(c) for c in columns)
+    )
+    merged = per_group.groupBy(F.lit("all")).agg(
+        *(F.expr(f"approx_top_k_combine(`{c}`, {_TRACKED_KEYS})").alias(c) for c in columns)
+    )
+    found = merged.select(
+        *(F.expr(f"approx_top_k_estimate(`{c}`, {MAX_HOT_KEYS})").alias(c) for c in columns)
     ).first()
     return {
         c: {
             entry["item"]: -(-entry["count"] // rows_per_task)
-            for entry in sketches[c] or []
+            for entry in (found[c] if found else [])
             if entry["item"] is not None and entry["count"] > rows_per_task
         }
         for c in columns

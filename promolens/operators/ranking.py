@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from promolens.functions import ratio, round_to
+from promolens.functions import percent
 
 
 def _checkpoint_folder(spark: SparkSession) -> None:
@@ -82,8 +82,8 @@ def concentration(df: DataFrame, key: str, measure: str, tiles: int = 5) -> Data
     running = F.sum("total").over(Window.orderBy("tile"))
     return per_tile.withColumns(
         {
-            "share_pct": round_to(ratio(F.col("total") * 100, platform), 1),
-            "cumulative_pct": round_to(ratio(running * 100, platform), 1),
+            "share_pct": percent(F.col("total"), platform),
+            "cumulative_pct": percent(running, platform),
         }
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from promolens.functions import ratio, round_to
+from promolens.functions import percent
 
 
 def previous(measure: str, period: str) -> Column:
@@ -26,6 +26,6 @@ def period_growth(df: DataFrame, period: str, changes: Mapping[str, str]) -> Dat
 
     def change(measure: str) -> Column:
         before = previous(measure, period)
-        return round_to(ratio((F.col(measure) - before) * 100, before), 1)
+        return percent(F.col(measure) - before, before)
 
     return df.withColumns({name: change(measure) for measure, name in changes.items()})

@@ -71,4 +71,5 @@ def q07_monthly_growth(t: CampaignTables) -> DataFrame:
 
 def q12_time_to_first_campaign(t: CampaignTables) -> DataFrame:
     """Days from signup to the first campaign, per plan."""
-    return activation_days(t.creators, t.campaigns, "plan_type").orderBy("avg_days_to_activation")
+    per_plan = activation_days(t.creators, t.campaigns, "plan_type")
+    return per_plan.orderBy("avg_days_to_activation", "plan_type")

@@ -18,7 +18,7 @@ from promolens.sources.tables import CampaignTables
 def q05_ltv_by_plan(t: CampaignTables, as_of: dt.date) -> DataFrame:
     """Average revenue times average tenure, per plan."""
     per_plan = tenure_ltv(t.creators, t.creator_events, as_of, "plan_type")
-    return per_plan.orderBy(F.desc("estimated_ltv_usd"))
+    return per_plan.orderBy(F.desc("estimated_ltv_usd"), "plan_type")
 
 
 def q06_churn_risk(t: CampaignTables, as_of: dt.date) -> DataFrame:
@@ -34,7 +34,7 @@ def q06_churn_risk(t: CampaignTables, as_of: dt.date) -> DataFrame:
             "view_trend",
             "churn_risk",
         )
-        .orderBy(F.desc("days_since_last"))
+        .orderBy(F.desc("days_since_last"), "creator_id")
     )
 
 
@@ -61,7 +61,7 @@ def q06a_churn_risk_placeholder(t: CampaignTables, as_of: dt.date) -> DataFrame:
             "view_trend",
             "churn_risk",
         )
-        .orderBy(F.desc("days_since_last_campaign"))
+        .orderBy(F.desc("days_since_last_campaign"), "creator_id")
     )
 
 

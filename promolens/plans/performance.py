@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions import money, ratio, round_to
+from promolens.functions import money, percent, ratio, round_to
 from promolens.operators.benchmark import peer_benchmark
 from promolens.operators.lookup import hot_keys, lookup
 from promolens.operators.ranking import top_k
@@ -48,7 +48,7 @@ def q02_roi_by_category(t: CampaignTables) -> DataFrame:
             round_to(F.col("watch_time_mins").cast("double") / 60, 0).alias("total_watch_hours"),
             _per("vtr_sum", "vtr_rows", 2).alias("avg_vtr_pct"),
         )
-        .orderBy(F.desc("total_views"))
+        .orderBy(F.desc("total_views"), "category")
     )
 
 
@@ -105,7 +105,7 @@ def _type_effectiveness(t: CampaignTables, average_budget: Column) -> DataFrame:
             _per("spend_usd", "new_subscribers", 2).alias("cost_per_subscriber"),
             _per("spend_usd", "engagements", 2).alias("cost_per_engagement"),
         )
-        .orderBy("cost_per_subscriber")
+        .orderBy("cost_per_subscriber", "campaign_type")
     )
 
 
@@ -129,11 +129,11 @@ def q09_age_group_targeting(t: CampaignTables) -> DataFrame:
             F.col("impressions").alias("total_impressions"),
             F.col("views").alias("total_views"),
             F.col("new_subscribers").alias("subscribers"),
-            round_to(ratio(F.col("views") * 100, F.col("impressions")), 2).alias("vtr_pct"),
-            round_to(ratio(F.col("new_subscribers") * 100, F.col("views")), 2).alias("sub_cvr_pct"),
+            percent(F.col("views"), F.col("impressions"), 2).alias("vtr_pct"),
+            percent(F.col("new_subscribers"), F.col("views"), 2).alias("sub_cvr_pct"),
             _per("watch_time_mins", "views", 2).alias("avg_watch_min_per_view"),
         )
-        .orderBy(F.desc("sub_cvr_pct"))
+        .orderBy(F.desc("sub_cvr_pct"), "target_age_group")
     )
 
 
@@ -142,7 +142,7 @@ def q10_competitor_benchmark(
 ) -> DataFrame:
     """The home brand against each competitor, per category."""
     compared = peer_benchmark(t.competitor_benchmarks, home, home_prefix, match_month)
-    return compared.orderBy(F.desc("roas_advantage"))
+    return compared.orderBy(F.desc("roas_advantage"), "category", "competitor_name")
 
 
 def q13_organic_vs_promoted_uplift(t: CampaignTables) -> DataFrame:
@@ -161,13 +161,13 @@ def q13_organic_vs_promoted_uplift(t: CampaignTables) -> DataFrame:
         "creator_name",
         "baseline_views",
         F.col("views").alias("promoted_views"),
-        round_to(ratio(extra * 100, F.col("baseline_views")), 1).alias("view_uplift_pct"),
+        percent(extra, F.col("baseline_views")).alias("view_uplift_pct"),
         F.col("new_subscribers").alias("subscribers_from_campaign"),
         money(F.col("spend_usd")).alias("total_spend_usd"),
         round_to(ratio(F.col("spend_usd"), extra, 1000), 2).alias(
             "cost_per_incremental_1000_views"
         ),
-    ).orderBy(F.desc("view_uplift_pct"))
+    ).orderBy(F.desc("view_uplift_pct"), "video_id")
 
 
 def _budget_band(budget: Column) -> Column:
@@ -190,7 +190,7 @@ def _sweet_spot(t: CampaignTables, average_budget: Column) -> DataFrame:
             _per("spend_usd", "new_subscribers", 2).alias("cost_per_subscriber"),
             _per("vtr_sum", "vtr_rows", 2).alias("avg_vtr_pct"),
         )
-        .orderBy("cost_per_1000_views")
+        .orderBy("cost_per_1000_views", "budget_bucket")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions import money, ratio, round_to
+from promolens.functions import money, percent, ratio, round_to
 from promolens.operators.rollup import one_row
 from promolens.sources.tables import CampaignTables
 
@@ -14,9 +14,7 @@ def _scorecard(totals: DataFrame, average_mrr: Column) -> DataFrame:
     return totals.select(
         "total_creators",
         "active_creators",
-        round_to(ratio(F.col("active_creators") * 100, F.col("total_creators")), 1).alias(
-            "active_rate_pct"
-        ),
+        percent(F.col("active_creators"), F.col("total_creators")).alias("active_rate_pct"),
         "total_campaigns",
         money(F.col("budget")).alias("total_platform_gmv_usd"),
         round_to(F.col("views").cast("double") / 1000000, 2).alias("total_views_millions"),
