@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from promolens import plans
 from promolens.operators import quality
-from promolens.operators.rollup import campaign_totals
 from promolens.schemas import SPECS
 from promolens.sources.files import read_table, write_table
 from promolens.sources.tables import CampaignTables
@@ -60,11 +59,11 @@ def reports(
 def write_reports(
     spark: SparkSession, root: str, target: str, as_of: dt.date, home: str
 ) -> None:
-    """Write every report; the daily fact is rolled up once and the rollup shared by all."""
+    """Write every report; the daily fact is rolled up and joined once, and shared by all."""
     tables = CampaignTables.load(spark, root)
-    stored = f"{target}/_campaign_totals"
-    campaign_totals(tables.campaign_daily_metrics).write.parquet(stored)
-    tables = tables.with_totals(spark.read.parquet(stored))
+    stored = f"{target}/_campaign_facts"
+    tables.facts.write.parquet(stored)
+    tables = tables.with_facts(spark.read.parquet(stored))
     for name, report in reports(tables, as_of, home).items():
         report().write.parquet(f"{target}/{name}")
 

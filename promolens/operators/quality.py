@@ -74,14 +74,16 @@ def dq_varchar_length(t: CampaignTables) -> DataFrame:
 
 
 def _repeated(df: DataFrame, table: str, column: str) -> DataFrame:
+    """Values of ``column`` that occur more than once, and NULL."""
     # Counted map-side first: a key that many rows share is one row per task in the shuffle.
     return (
-        df.groupBy(F.col(column).cast("string").alias("key_value"))
+        df.groupBy(column)
         .agg(F.count("*").alias("copies"))
+        .filter((F.col("copies") > 1) | F.col(column).isNull())
         .select(
             F.lit(table).alias("table_name"),
             F.lit(column).alias("column_name"),
-            "key_value",
+            F.col(column).cast("string").alias("key_value"),
             "copies",
         )
     )
@@ -89,16 +91,14 @@ def _repeated(df: DataFrame, table: str, column: str) -> DataFrame:
 
 def dq_primary_key(t: CampaignTables) -> DataFrame:
     """Primary key values that are NULL or occur more than once."""
-    return _union(
-        [_repeated(df, name, SPECS[name].primary_key) for name, df in t.items()]
-    ).filter((F.col("copies") > 1) | F.col("key_value").isNull())
+    return _union([_repeated(df, name, SPECS[name].primary_key) for name, df in t.items()])
 
 
 def dq_unique_email(t: CampaignTables) -> DataFrame:
-    """Values of a UNIQUE column (the creators' email) that occur more than once."""
+    """Values of a UNIQUE column (the creators' email) that occur more than once; NULL may."""
     return _union(
         [_repeated(df, name, c) for name, df in t.items() for c in SPECS[name].unique]
-    ).filter((F.col("copies") > 1) & F.col("key_value").isNotNull())
+    ).filter(F.col("key_value").isNotNull())
 
 
 def dq_foreign_key(t: CampaignTables) -> DataFrame:

@@ -51,13 +51,13 @@ def campaign_totals(metrics: DataFrame) -> DataFrame:
 
 
 def campaign_facts(campaigns: DataFrame, totals: DataFrame) -> DataFrame:
-    """Campaigns that have metrics, with their totals; one row per campaign.
+    """Every campaign with its totals, one row each; the totals are NULL if it has no metrics.
 
     ``budget_by_row`` and ``budget_rows`` carry the budget as often as the campaign has metric
     rows: that is the weight a plain join with the daily table gives it.
     """
     has_budget = F.col("budget_usd").isNotNull()
-    return campaigns.join(totals, "campaign_id").withColumns(
+    return campaigns.join(totals, "campaign_id", "left").withColumns(
         {
             "campaigns": F.lit(1).cast("long"),
             "budget_campaigns": has_budget.cast("long"),
@@ -67,6 +67,11 @@ def campaign_facts(campaigns: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
+def delivered(facts: DataFrame) -> DataFrame:
+    """The campaigns that have metrics. On facts that are not stored this is an inner join."""
+    return facts.filter(F.col("metric_rows").isNotNull())
+
+
 def kpi_rollup(facts: DataFrame, *by: str) -> DataFrame:
     """Sum every additive measure per ``by``; takes campaign facts or a finer rollup of them."""
     return facts.groupBy(*by).agg(*(F.sum(name).alias(name) for name in ADDITIVE))

@@ -11,7 +11,7 @@ from promolens.functions import money, ratio, round_to
 from promolens.operators.lifecycle import RiskLabels, churn_signals, tenure_ltv
 from promolens.operators.lookup import hot_keys, lookup
 from promolens.operators.ranking import concentration, top_k_ranked
-from promolens.operators.rollup import campaign_facts, kpi_rollup
+from promolens.operators.rollup import delivered, kpi_rollup
 from promolens.sources.tables import CampaignTables
 
 
@@ -68,9 +68,8 @@ def q06a_churn_risk_placeholder(t: CampaignTables, as_of: dt.date) -> DataFrame:
 def q11_top_creators_by_spend(t: CampaignTables, k: int = 10) -> DataFrame:
     """The ``k`` highest-spending (creator, video category) pairs."""
     hot_videos = hot_keys(t.campaigns, "video_id")["video_id"]
-    facts = campaign_facts(t.campaigns, t.totals)
     categories = t.videos.select("video_id", "category")
-    placed = lookup(facts, categories, "video_id", hot_videos, F.xxhash64("campaign_id"))
+    placed = lookup(delivered(t.facts), categories, "video_id", hot_videos, F.xxhash64("campaign_id"))
     # A creator has at most one row per category from here on.
     per_pair = kpi_rollup(placed, "creator_id", "category")
     pairs = per_pair.join(t.creators.select("creator_id", "name", "plan_type"), "creator_id")
@@ -93,7 +92,7 @@ def q11_top_creators_by_spend(t: CampaignTables, k: int = 10) -> DataFrame:
 def q14_revenue_concentration(t: CampaignTables, tiles: int = 5) -> DataFrame:
     """Share of spend by creator quintile, highest spenders first; equal spend goes by id."""
     spend = (
-        kpi_rollup(campaign_facts(t.campaigns, t.totals), "creator_id")
+        kpi_rollup(delivered(t.facts), "creator_id")
         .join(t.creators.select("creator_id"), "creator_id")
         .select("creator_id", F.col("spend_usd").alias("total_spend"))
     )

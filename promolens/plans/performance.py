@@ -9,7 +9,7 @@ from promolens.functions import money, percent, ratio, round_to
 from promolens.operators.benchmark import peer_benchmark
 from promolens.operators.lookup import hot_keys, lookup
 from promolens.operators.ranking import top_k
-from promolens.operators.rollup import campaign_facts, kpi_rollup
+from promolens.operators.rollup import delivered, kpi_rollup
 from promolens.sources.tables import CampaignTables
 
 # Upper budget bounds (exclusive) in dollars and their labels.
@@ -23,10 +23,6 @@ BUDGET_BANDS = (
 TOP_BUDGET_BAND = "Above $2000"
 
 
-def _facts(t: CampaignTables) -> DataFrame:
-    return campaign_facts(t.campaigns, t.totals)
-
-
 def _per(numerator: str, denominator: str, digits: int, scale: float = 1.0) -> Column:
     return round_to(ratio(F.col(numerator), F.col(denominator), scale), digits)
 
@@ -34,7 +30,7 @@ def _per(numerator: str, denominator: str, digits: int, scale: float = 1.0) -> C
 def q02_roi_by_category(t: CampaignTables) -> DataFrame:
     """Spend, reach and cost per view for each video category."""
     # One row per video before the join, so a video with very many campaigns stays one row.
-    per_video = kpi_rollup(_facts(t), "video_id")
+    per_video = kpi_rollup(delivered(t.facts), "video_id")
     categories = t.videos.select("video_id", "category")
     return (
         kpi_rollup(per_video.join(categories, "video_id"), "category")
@@ -59,7 +55,7 @@ def q04_top_campaigns_roas(
     hot = hot_keys(t.campaigns, "creator_id", "video_id")
     spread = F.xxhash64("campaign_id")
     value = F.col("views").cast("double") * value_per_view
-    scored = _facts(t).select(
+    scored = delivered(t.facts).select(
         "campaign_id",
         "creator_id",
         "video_id",
@@ -92,7 +88,7 @@ def q04_top_campaigns_roas(
 
 def _type_effectiveness(t: CampaignTables, average_budget: Column) -> DataFrame:
     return (
-        kpi_rollup(_facts(t), "campaign_type")
+        kpi_rollup(delivered(t.facts), "campaign_type")
         .select(
             "campaign_type",
             F.col("campaigns").alias("num_campaigns"),
@@ -122,7 +118,7 @@ def q08_gs(t: CampaignTables) -> DataFrame:
 def q09_age_group_targeting(t: CampaignTables) -> DataFrame:
     """View-through, conversion and watch time per target age group."""
     return (
-        kpi_rollup(_facts(t), "target_age_group")
+        kpi_rollup(delivered(t.facts), "target_age_group")
         .select(
             "target_age_group",
             "campaigns",
@@ -147,7 +143,7 @@ def q10_competitor_benchmark(
 
 def q13_organic_vs_promoted_uplift(t: CampaignTables) -> DataFrame:
     """Promoted views of each video against its organic baseline."""
-    per_video = kpi_rollup(_facts(t), "video_id")
+    per_video = kpi_rollup(delivered(t.facts), "video_id")
     names = t.creators.select("creator_id", F.col("name").alias("creator_name"))
     owners = hot_keys(t.videos, "creator_id")["creator_id"]
     promoted = lookup(
@@ -179,7 +175,7 @@ def _budget_band(budget: Column) -> Column:
 
 
 def _sweet_spot(t: CampaignTables, average_budget: Column) -> DataFrame:
-    banded = _facts(t).withColumn("budget_bucket", _budget_band(F.col("budget_usd")))
+    banded = delivered(t.facts).withColumn("budget_bucket", _budget_band(F.col("budget_usd")))
     return (
         kpi_rollup(banded, "budget_bucket")
         .select(

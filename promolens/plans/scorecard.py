@@ -35,8 +35,7 @@ def q16_health_scorecard(t: CampaignTables) -> DataFrame:
     row. ``copies`` holds these row counts, so the joined rows are never built.
     """
     per_creator = (
-        t.campaigns.join(t.totals, "campaign_id", "left")
-        .withColumn("copies", F.coalesce("metric_rows", F.lit(1)))
+        t.facts.withColumn("copies", F.coalesce("metric_rows", F.lit(1)))
         .groupBy("creator_id")
         .agg(
             F.count("campaign_id").alias("campaigns"),

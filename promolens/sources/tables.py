@@ -6,7 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promolens.operators.rollup import campaign_totals
+from promolens.operators.rollup import campaign_facts, campaign_totals
 from promolens.schemas import SPECS
 from promolens.sources.files import read_table
 
@@ -15,7 +15,7 @@ from promolens.sources.files import read_table
 class CampaignTables:
     """The campaign tables; a report needs only those that it reads.
 
-    ``stored_totals`` is an optional saved per-campaign rollup of the daily metrics.
+    ``stored_facts`` is an optional saved copy of ``facts``, the campaigns with their totals.
     """
 
     creators: DataFrame | None = None
@@ -24,7 +24,7 @@ class CampaignTables:
     campaign_daily_metrics: DataFrame | None = None
     competitor_benchmarks: DataFrame | None = None
     creator_events: DataFrame | None = None
-    stored_totals: DataFrame | None = None
+    stored_facts: DataFrame | None = None
 
     @classmethod
     def load(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> CampaignTables:
@@ -32,15 +32,15 @@ class CampaignTables:
         return cls(**{name: read_table(spark, name, f"{root}/{name}", fmt) for name in SPECS})
 
     @property
-    def totals(self) -> DataFrame:
-        """One row per campaign: the stored rollup if there is one, else computed on use."""
-        if self.stored_totals is not None:
-            return self.stored_totals
-        return campaign_totals(self.campaign_daily_metrics)
-
-    def with_totals(self, totals: DataFrame) -> CampaignTables:
-        """Same tables, reading a rollup that was saved earlier instead of the daily metrics."""
-        return replace(self, stored_totals=totals)
+    def facts(self) -> DataFrame:
+        """One row per campaign: the stored facts if there are any, else computed on use."""
+        if self.stored_facts is not None:
+            return self.stored_facts
+        return campaign_facts(self.campaigns, campaign_totals(self.campaign_daily_metrics))
+
+    def with_facts(self, facts: DataFrame) -> CampaignTables:
+        """Same tables, reading campaign facts that were saved earlier instead of the metrics."""
+        return replace(self, stored_facts=facts)
 
     def items(self) -> list[tuple[str, DataFrame]]:
         """Name and data of every table that is present."""

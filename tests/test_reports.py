@@ -6,7 +6,6 @@ import compare
 import sample
 from promolens import jobs, plans
 from promolens.operators.lookup import lookup
-from promolens.operators.rollup import campaign_totals
 
 
 def rows(df):
@@ -28,9 +27,9 @@ def test_reports_against_plain_join_sql(spark, tables, reports):
         assert compare.spark_rows(df) == compare.duck_rows(duck, bodies[name], df.columns), name
 
 
-def test_reports_on_stored_totals_are_the_same(spark, tables, reports, tmp_path):
-    campaign_totals(tables.campaign_daily_metrics).write.parquet(str(tmp_path / "totals"))
-    stored = tables.with_totals(spark.read.parquet(str(tmp_path / "totals")))
+def test_reports_on_stored_facts_are_the_same(spark, tables, reports, tmp_path):
+    tables.facts.write.parquet(str(tmp_path / "facts"))
+    stored = tables.with_facts(spark.read.parquet(str(tmp_path / "facts")))
     for name, report in jobs.reports(stored, sample.AS_OF, sample.HOME).items():
         assert compare.spark_rows(report()) == compare.spark_rows(reports[name]()), name
 
