@@ -1,7 +1,7 @@
 """Batch jobs: load raw files into typed tables, roll up the fact, write reports.
 
-    spark-submit promolens/jobs.py ingest  RAW_FOLDER TABLE_FOLDER [--format csv]
-    spark-submit promolens/jobs.py reports TABLE_FOLDER REPORT_FOLDER --as-of 2024-06-30 --home NAME
+    jobs.py ingest  RAW_FOLDER TABLE_FOLDER [--format csv]
+    jobs.py reports TABLE_FOLDER REPORT_FOLDER --as-of 2024-06-30 --home NAME
 """
 
 from __future__ import annotations
