@@ -490,7 +490,7 @@ _FLIGHT = """
 
 def bodies(upgraded: tuple[str, ...], home: str, tenure_as_of: str, churn_as_of: str):
     """Query name to SQL over the six campaign tables."""
-    once_by_type = _once("campaign_type") + " ON b.label = c.campaign_type"
+    once_by_type = _once("campaign_type") + " ON b.label IS NOT DISTINCT FROM c.campaign_type"
     once_by_band = _once(_BAND) + " ON b.label = c.band"
     return {
         "q01_acquisition_funnel": _q01(upgraded),
