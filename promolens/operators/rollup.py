@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import ratio
@@ -28,6 +30,16 @@ ADDITIVE = (
 )
 
 
+def _exact_sum(column: str) -> Column:
+    """Sum of a DECIMAL(10,2) column per campaign, added up as whole hundredths.
+
+    A DECIMAL(20,2) sum needs a wide buffer in every row of the hash map and of the shuffle; a
+    BIGINT gives the same exact total in about three quarters of the time.
+    """
+    hundredths = F.sum((F.col(column) * 100).cast("long"))
+    return (hundredths.cast("decimal(20,0)") * Decimal("0.01")).cast("decimal(20,2)").alias(column)
+
+
 def campaign_totals(metrics: DataFrame) -> DataFrame:
     """One row per campaign. Unused sums are pruned by the optimizer, down to the scan.
 
@@ -43,8 +55,8 @@ def campaign_totals(metrics: DataFrame) -> DataFrame:
         F.sum("new_subscribers").alias("new_subscribers"),
         F.sum("likes").alias("likes"),
         F.sum(F.col("likes").cast("long") + F.col("clicks")).alias("engagements"),
-        F.sum("spend_usd").alias("spend_usd"),
-        F.sum("watch_time_mins").alias("watch_time_mins"),
+        _exact_sum("spend_usd"),
+        _exact_sum("watch_time_mins"),
         F.sum(daily_vtr).alias("vtr_sum"),
         F.count(daily_vtr).alias("vtr_rows"),
     )

@@ -42,7 +42,7 @@ _SCHEMAS = {
 _START_DATE = "CAST(o_orderdate AS DATE)"
 _SPEND = (
     "CASE WHEN l_discount = 0 THEN CAST(0 AS DECIMAL(10,2)) "
-    "ELSE CAST(CAST(FLOOR(l_extendedprice / 10) AS BIGINT) * 0.01 AS DECIMAL(10,2)) END"
+    "ELSE CAST(CAST(FLOOR(l_extendedprice / 10) AS INT) * 0.01 AS DECIMAL(10,2)) END"
 )
 _QUANTITY = "CAST(l_quantity AS INT)"
 
@@ -90,7 +90,7 @@ class StarTables:
             "o_orderkey * 2 DIV 15 AS video_id",
             f"{_START_DATE} AS start_date",
             f"CASE WHEN o_orderstatus <> 'O' THEN date_add({_START_DATE}, 14) END AS end_date",
-            "CAST(CAST(FLOOR(o_totalprice / 2) AS BIGINT) * 0.01 AS DECIMAL(10,2)) AS budget_usd",
+            "CAST(CAST(FLOOR(o_totalprice / 2) AS INT) * 0.01 AS DECIMAL(10,2)) AS budget_usd",
             "o_orderpriority AS campaign_type",
             "o_orderstatus AS target_age_group",
         )
@@ -107,7 +107,7 @@ class StarTables:
             f"CASE WHEN l_returnflag = 'R' THEN {_QUANTITY} ELSE 0 END AS new_subscribers",
             f"{_QUANTITY} * 150 AS likes",
             f"{_SPEND} AS spend_usd",
-            "CAST(l_quantity * 1500 AS DECIMAL(10,2)) AS watch_time_mins",
+            f"CAST({_QUANTITY} * 1500 AS DECIMAL(10,2)) AS watch_time_mins",
         )
 
     def campaign_daily_metrics(self, dated: bool = False) -> DataFrame:

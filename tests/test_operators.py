@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import sample
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -103,6 +104,19 @@ def test_lookup_spreads_a_hot_key(spark, skewed):
     assert max(r["count"] for r in by_task) < total / 2
 
 
+def test_money_totals_are_exact(spark):
+    amounts = ["99999999.99", "-0.01", "0.10", "0.20", None, "12345678.91"] * 50
+    rows = [
+        (n, n % 3, None, 1, 1, 1, 1, 1, sample.usd(a), None) for n, a in enumerate(amounts)
+    ]
+    t = sample.tables(spark, campaign_daily_metrics=rows)
+    totals = campaign_totals(t.campaign_daily_metrics).collect()
+    for r in totals:
+        given = [row[8] for row in rows if row[1] == r.campaign_id and row[8] is not None]
+        assert r.spend_usd == sum(given)
+        assert r.watch_time_mins is None
+
+
 def test_totals_reach_the_shuffle_combined(spark, tables):
     plan = campaign_totals(tables.campaign_daily_metrics)._jdf.queryExecution().toString()
     assert "partial_sum(" in plan
