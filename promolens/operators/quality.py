@@ -158,16 +158,24 @@ def dq_domain(t: CampaignTables) -> DataFrame:
 
 def dq_metric_in_flight(t: CampaignTables) -> DataFrame:
     """Campaign days with metrics outside the campaign's start and end; open ends never fail."""
-    # Per day first: a campaign then has at most one row per calendar day to join.
-    days = t.campaign_daily_metrics.groupBy("campaign_id", "metric_date").agg(
-        F.count("*").alias("metric_rows"), F.min("metric_id").alias("first_metric_id")
+    days = t.campaign_daily_metrics.select(
+        "campaign_id",
+        "metric_date",
+        F.lit(1).cast("long").alias("metric_rows"),
+        F.col("metric_id").alias("first_metric_id"),
     )
+    counts = (
+        F.sum("metric_rows").alias("metric_rows"),
+        F.min("first_metric_id").alias("first_metric_id"),
+    )
+    if t.has_hot_campaigns:
+        # Per day first: a campaign then has at most one row per calendar day to join.
+        days = days.groupBy("campaign_id", "metric_date").agg(*counts)
     flights = t.campaigns.select("campaign_id", "start_date", "end_date")
     day = F.col("metric_date")
     return (
         days.join(flights, "campaign_id")
         .filter((day < F.col("start_date")) | (day > F.col("end_date")))
-        .select(
-            "campaign_id", "metric_date", "start_date", "end_date", "metric_rows", "first_metric_id"
-        )
+        .groupBy("campaign_id", "metric_date", "start_date", "end_date")
+        .agg(*counts)
     )

@@ -24,7 +24,13 @@ def q05_ltv_by_plan(t: CampaignTables, as_of: dt.date) -> DataFrame:
 def q06_churn_risk(t: CampaignTables, as_of: dt.date) -> DataFrame:
     """Churn risk of active creators from their latest campaign."""
     return (
-        churn_signals(t.creators, t.campaigns, t.campaign_daily_metrics, as_of)
+        churn_signals(
+            t.creators,
+            t.campaigns,
+            t.campaign_daily_metrics,
+            as_of,
+            daily_first=t.has_hot_campaigns,
+        )
         .select(
             "creator_id",
             "name",
@@ -47,6 +53,7 @@ def q06a_churn_risk_placeholder(t: CampaignTables, as_of: dt.date) -> DataFrame:
             t.campaigns,
             t.campaign_daily_metrics,
             as_of,
+            daily_first=t.has_hot_campaigns,
             from_start_only=False,
             labels=labels,
         )

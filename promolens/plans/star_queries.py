@@ -30,7 +30,7 @@ def _ingest(name: str) -> Query:
     def report(t: CampaignTables) -> DataFrame:
         return getattr(t, name)
 
-    return _on(report, name, dated=True)
+    return _on(report, name, dated=name == _ME)
 
 
 _CR, _VI, _CA, _ME = "creators", "videos", "campaigns", "campaign_daily_metrics"

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.operators.lookup import hot_keys, lookup
-from promolens.schemas import SPECS
+from promolens.operators.lookup import HotKeys, hot_keys, lookup
+from promolens.schemas import METRICS, SPECS
 from promolens.sources.files import conform
 from promolens.sources.tables import CampaignTables
 
@@ -110,20 +110,22 @@ class StarTables:
             f"CAST({_QUANTITY} * 1500 AS DECIMAL(10,2)) AS watch_time_mins",
         )
 
-    def campaign_daily_metrics(self, dated: bool = False) -> DataFrame:
-        """Daily metrics; ``dated`` also looks up the campaign start that the dates count from."""
+    def _hot_campaigns(self) -> HotKeys:
+        return hot_keys(self._undated_metrics(), "campaign_id")["campaign_id"]
+
+    def campaign_daily_metrics(self, hot: HotKeys | None = None) -> DataFrame:
+        """Daily metrics. Dates count from the campaign's start, which is looked up if ``hot``,
+        the campaigns with very many rows, is given; otherwise the date is NULL."""
         metrics = self._undated_metrics()
-        if dated:
+        day = F.lit(None)
+        if hot is not None:
             starts = self._read("orders").selectExpr(
                 "o_orderkey AS campaign_id", f"{_START_DATE} AS start_date"
             )
-            hot = hot_keys(metrics, "campaign_id")["campaign_id"]
             # Numbered while scanning, so that even identical rows are spread.
             spread = F.monotonically_increasing_id()
             metrics = lookup(metrics, starts, "campaign_id", hot, spread)
             day = F.expr("date_add(start_date, CAST((l_linenumber - 1) * 3 AS INT))")
-        else:
-            day = F.lit(None)
         return conform(metrics.withColumn("metric_date", day), "campaign_daily_metrics")
 
     def competitor_benchmarks(self) -> DataFrame:
@@ -187,10 +189,10 @@ class StarTables:
         return conform(shaped, "creator_events")
 
     def tables(self, *names: str, dated: bool = False) -> CampaignTables:
-        """The named tables, or all of them."""
-        wanted = {name: getattr(self, name) for name in names or SPECS}
+        """The named tables, or all of them; the metrics have dates if ``dated``."""
+        hot = self._hot_campaigns() if dated else None
         built = {
-            name: build(dated) if name == "campaign_daily_metrics" else build()
-            for name, build in wanted.items()
+            name: self.campaign_daily_metrics(hot) if name == METRICS.name else getattr(self, name)()
+            for name in names or SPECS
         }
-        return CampaignTables(**built)
+        return CampaignTables(**built, known_hot_campaigns=hot)

@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from promolens.operators.lookup import HotKeys, hot_keys
 from promolens.operators.rollup import campaign_facts, campaign_totals
 from promolens.schemas import SPECS
 from promolens.sources.files import read_table
@@ -16,6 +17,7 @@ class CampaignTables:
     """The campaign tables; a report needs only those that it reads.
 
     ``stored_facts`` is an optional saved copy of ``facts``, the campaigns with their totals.
+    ``known_hot_campaigns`` are the campaigns with very many metric rows, where they are known.
     """
 
     creators: DataFrame | None = None
@@ -25,6 +27,7 @@ class CampaignTables:
     competitor_benchmarks: DataFrame | None = None
     creator_events: DataFrame | None = None
     stored_facts: DataFrame | None = None
+    known_hot_campaigns: HotKeys | None = None
 
     @classmethod
     def load(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> CampaignTables:
@@ -38,6 +41,14 @@ class CampaignTables:
             return self.stored_facts
         return campaign_facts(self.campaigns, campaign_totals(self.campaign_daily_metrics))
 
+    @property
+    def has_hot_campaigns(self) -> bool:
+        """Whether single campaigns have so many metric rows that they need splitting."""
+        known = self.known_hot_campaigns
+        if known is None:
+            known = hot_keys(self.campaign_daily_metrics, "campaign_id")["campaign_id"]
+        return bool(known)
+
     def with_facts(self, facts: DataFrame) -> CampaignTables:
         """Same tables, reading campaign facts that were saved earlier instead of the metrics."""
         return replace(self, stored_facts=facts)

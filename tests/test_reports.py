@@ -1,10 +1,13 @@
 """Reports on the hand-made sample: worked-out values, and every report against plain-join SQL."""
 
+from dataclasses import replace
+
 import pytest
 
 import compare
 import sample
 from promolens import jobs, plans
+from promolens.operators import quality
 from promolens.operators.lookup import lookup
 
 
@@ -166,6 +169,21 @@ def test_views_are_queryable_by_name(spark, tables):
     assert spark.sql("SELECT count(*) AS n FROM campaign_daily_metrics").first().n == 15
 
 
+def test_hot_campaigns_change_no_report(tables):
+    """With and without summing per day before the join."""
+    checks = (
+        lambda t: plans.q06_churn_risk(t, sample.AS_OF),
+        lambda t: plans.q06a_churn_risk_placeholder(t, sample.AS_OF),
+        quality.dq_metric_in_flight,
+    )
+    hot = replace(tables, known_hot_campaigns={101: 2})
+    cold = replace(tables, known_hot_campaigns={})
+    for check in checks:
+        expected = compare.spark_rows(check(tables))
+        assert compare.spark_rows(check(hot)) == expected
+        assert compare.spark_rows(check(cold)) == expected
+
+
 def test_hot_owner_changes_no_report(spark, tables, monkeypatch):
     """Forced splitting of every key gives the same rows."""
     import promolens.plans.customers as customers
