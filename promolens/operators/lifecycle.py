@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import completed_months, percent, ratio, round_to, year_month
+from promolens.operators.lookup import HotKeys, fold_hot
 
 
 def first_campaigns(campaigns: DataFrame) -> DataFrame:
@@ -110,7 +111,7 @@ def churn_signals(
     metrics: DataFrame,
     as_of: dt.date,
     *,
-    daily_first: bool = True,
+    hot_campaigns: HotKeys,
     from_start_only: bool = True,
     labels: RiskLabels = RiskLabels(),
     week_days: int = 7,
@@ -122,15 +123,18 @@ def churn_signals(
     rest; the trend is declining when the rest is below 70 % of the first week. With
     ``from_start_only=False`` views from before the start count as first-week views too.
 
-    ``daily_first`` sums the metrics per campaign and day before they are joined, so that no
-    campaign brings more rows than it has days. Without hot campaigns, joining the rows as they
-    are saves a shuffle of the metrics.
+    The rows of ``hot_campaigns`` are summed per day before they are joined.
     """
     latest = campaigns.groupBy("creator_id").agg(
         F.max("start_date").alias("last_start"), F.max("campaign_id").alias("campaign_id")
     )
-    if daily_first:
-        metrics = metrics.groupBy("campaign_id", "metric_date").agg(F.sum("views").alias("views"))
+    views = fold_hot(
+        metrics.select("campaign_id", "metric_date", F.col("views").cast("long")),
+        "campaign_id",
+        hot_campaigns,
+        "metric_date",
+        F.sum("views").alias("views"),
+    )
 
     day, start = F.col("metric_date"), F.col("last_start")
     week_end = F.date_add(start, week_days)
@@ -143,7 +147,7 @@ def churn_signals(
         creators.filter("is_active")
         .select("creator_id", "name", "plan_type", "monthly_revenue")
         .join(latest, "creator_id")
-        .join(metrics.select("campaign_id", "metric_date", "views"), "campaign_id")
+        .join(views, "campaign_id")
         .groupBy("creator_id", "name", "plan_type", "monthly_revenue", "last_start")
         .agg(
             views_if(first_week).alias("first_week_views"),

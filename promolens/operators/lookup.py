@@ -69,3 +69,19 @@ def lookup(rows: DataFrame, one: DataFrame, key: str, hot: HotKeys, spread: Colu
         .drop("_parts")
     )
     return split_rows.join(repeated, [key, "_part"]).drop("_part")
+
+
+def fold_hot(
+    rows: DataFrame, key: str, hot: HotKeys, within: str, *folded: Column
+) -> DataFrame:
+    """``rows`` with those of hot keys folded to one per ``within``, the others as they are.
+
+    ``folded`` are additive aggregates that keep their column's name. After this a hot key has no
+    more rows than ``within`` has values, so the rows can be joined on ``key``.
+    """
+    if not hot:
+        return rows
+    is_hot = F.col(key).isin(*hot)
+    return rows.filter(~is_hot).unionByName(
+        rows.filter(is_hot).groupBy(key, within).agg(*folded)
+    )

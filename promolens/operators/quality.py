@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promolens.operators.lookup import fold_hot
 from promolens.schemas import SPECS, TableSpec
 from promolens.sources.tables import CampaignTables
 
@@ -168,9 +169,7 @@ def dq_metric_in_flight(t: CampaignTables) -> DataFrame:
         F.sum("metric_rows").alias("metric_rows"),
         F.min("first_metric_id").alias("first_metric_id"),
     )
-    if t.has_hot_campaigns:
-        # Per day first: a campaign then has at most one row per calendar day to join.
-        days = days.groupBy("campaign_id", "metric_date").agg(*counts)
+    days = fold_hot(days, "campaign_id", t.hot_campaigns, "metric_date", *counts)
     flights = t.campaigns.select("campaign_id", "start_date", "end_date")
     day = F.col("metric_date")
     return (

@@ -29,7 +29,7 @@ def q06_churn_risk(t: CampaignTables, as_of: dt.date) -> DataFrame:
             t.campaigns,
             t.campaign_daily_metrics,
             as_of,
-            daily_first=t.has_hot_campaigns,
+            hot_campaigns=t.hot_campaigns,
         )
         .select(
             "creator_id",
@@ -53,7 +53,7 @@ def q06a_churn_risk_placeholder(t: CampaignTables, as_of: dt.date) -> DataFrame:
             t.campaigns,
             t.campaign_daily_metrics,
             as_of,
-            daily_first=t.has_hot_campaigns,
+            hot_campaigns=t.hot_campaigns,
             from_start_only=False,
             labels=labels,
         )

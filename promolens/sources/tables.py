@@ -42,12 +42,11 @@ class CampaignTables:
         return campaign_facts(self.campaigns, campaign_totals(self.campaign_daily_metrics))
 
     @property
-    def has_hot_campaigns(self) -> bool:
-        """Whether single campaigns have so many metric rows that they need splitting."""
-        known = self.known_hot_campaigns
-        if known is None:
-            known = hot_keys(self.campaign_daily_metrics, "campaign_id")["campaign_id"]
-        return bool(known)
+    def hot_campaigns(self) -> HotKeys:
+        """Campaigns with more metric rows than one task should join."""
+        if self.known_hot_campaigns is not None:
+            return self.known_hot_campaigns
+        return hot_keys(self.campaign_daily_metrics, "campaign_id")["campaign_id"]
 
     def with_facts(self, facts: DataFrame) -> CampaignTables:
         """Same tables, reading campaign facts that were saved earlier instead of the metrics."""
