@@ -52,6 +52,9 @@ def lookup(rows: DataFrame, one: DataFrame, key: str, hot: HotKeys, spread: Colu
     Without hot keys this is the plain join. Otherwise the rows of a hot key are split by
     ``spread`` over several tasks and only the hot rows of ``one`` are repeated to match; the
     broadcast list has at most MAX_HOT_KEYS rows. Every row is kept, whichever keys are listed.
+
+    ``spread`` has to give a row the same number again when its task is repeated: a hash of the
+    row's own key, or the position in a file scan.
     """
     if not hot:
         return rows.join(one, key)
@@ -71,9 +74,7 @@ def lookup(rows: DataFrame, one: DataFrame, key: str, hot: HotKeys, spread: Colu
     return split_rows.join(repeated, [key, "_part"]).drop("_part")
 
 
-def fold_hot(
-    rows: DataFrame, key: str, hot: HotKeys, within: str, *folded: Column
-) -> DataFrame:
+def fold_hot(rows: DataFrame, key: str, hot: HotKeys, within: str, *folded: Column) -> DataFrame:
     """``rows`` with those of hot keys folded to one per ``within``, the others as they are.
 
     ``folded`` are additive aggregates that keep their column's name. After this a hot key has no
@@ -82,6 +83,5 @@ def fold_hot(
     if not hot:
         return rows
     is_hot = F.col(key).isin(*hot)
-    return rows.filter(~is_hot).unionByName(
-        rows.filter(is_hot).groupBy(key, within).agg(*folded)
-    )
+    per_value = rows.filter(is_hot).groupBy(key, within).agg(*folded)
+    return rows.filter(~is_hot).unionByName(per_value)
