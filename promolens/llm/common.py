@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator, Sequence
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    """Where a file of the public tokenizers is."""
+    return str(public_tokenizers.path(name))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

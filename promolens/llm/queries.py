@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm.common import table
+from promolens.llm.bpe import bpe
+from promolens.llm.common import table, vocabulary_path
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
 from promolens.llm.secrets import BASE_RULES, secret_scan
 from promolens.llm.url_filter import UNWANTED_WORDS, Rule, unwanted_hosts, url_filter
@@ -56,6 +57,11 @@ def _op1_sql() -> str:
     """
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe(docs, vocabulary_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -102,7 +108,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op5_line_dedup, op8_secrets)
+    f.__name__: f for f in (op1_url_filter, op2_bpe, op5_line_dedup, op8_secrets)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_url_filter": _op1_sql(), "op5_line_dedup": _op5_sql()}
