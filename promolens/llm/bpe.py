@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -352,7 +353,7 @@ def bpe(
         lexicon = _lexicon(name)
         for batch in batches:
             ids_, texts = batch.column(0), batch.column(1)
-            sizes = texts.to_pandas().str.len().fillna(0).astype(int)
+            sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
             for part in chunks([range(n) for n in sizes]):
                 n = part.stop - part.start
                 own = [t or "" for t in texts.slice(part.start, n).to_pylist()]

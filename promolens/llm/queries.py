@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.bpe import bpe
 from promolens.llm.common import table, vocabulary_path
+from promolens.llm.html_text import html_text
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
 from promolens.llm.secrets import BASE_RULES, secret_scan
 from promolens.llm.url_filter import UNWANTED_WORDS, Rule, unwanted_hosts, url_filter
@@ -107,8 +108,14 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text(pages, keep=["url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_bpe, op5_line_dedup, op8_secrets)
+    f.__name__: f for f in (op1_url_filter, op2_bpe, op5_line_dedup, op8_secrets, op10_html_text)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_url_filter": _op1_sql(), "op5_line_dedup": _op5_sql()}
