@@ -11,7 +11,9 @@ from promolens.llm.bpe import bpe
 from promolens.llm.common import table, vocabulary_path
 from promolens.llm.html_text import html_text
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
+from promolens.llm.quality import quality
 from promolens.llm.secrets import BASE_RULES, secret_scan
+from promolens.llm.toxicity import toxicity
 from promolens.llm.url_filter import UNWANTED_WORDS, Rule, unwanted_hosts, url_filter
 
 #: The rules that op1 judges by.
@@ -63,6 +65,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(docs, vocabulary_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality(docs, table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -89,6 +96,11 @@ def _op5_sql() -> str:
     """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, table(spark, sf_dir, "labels"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = [r.kind for r in BASE_RULES]
@@ -115,7 +127,15 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_bpe, op5_line_dedup, op8_secrets, op10_html_text)
+    f.__name__: f for f in (
+        op1_url_filter,
+        op2_bpe,
+        op4_quality,
+        op5_line_dedup,
+        op7_toxicity,
+        op8_secrets,
+        op10_html_text,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_url_filter": _op1_sql(), "op5_line_dedup": _op5_sql()}
