@@ -300,17 +300,33 @@ def _lexicon(name: str) -> Lexicon:
 
 
 def frequent_words(docs: DataFrame, *, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The corpus's most frequent words, counted over all texts; as many as ``most`` at the most."""
+    """The corpus's most frequent words, counted over all texts; as many as ``most`` at the most.
+
+    Frequencies are put on a scale of 16 steps to a doubling, and the words from that step on are
+    taken at which they still are not too many. So only these words come to the driver.
+    """
     pieces = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"), F.lit(0))
     counted = (
         docs.select(F.explode(pieces).alias("word"))
         .where(F.length("word") <= LEXICON_CHARS)
         .groupBy("word")
         .count()
-        .orderBy(F.desc("count"), "word")
-        .limit(most)
+        .where("count > 1")
+        .select("word", F.floor(F.log2("count") * 16).alias("step"))
+        .cache()
     )
-    return [r["word"] for r in counted.collect()]
+    try:
+        taken, lowest = 0, None
+        for row in counted.groupBy("step").count().orderBy(F.desc("step")).collect():
+            taken += row["count"]
+            if taken > most:
+                break
+            lowest = row["step"]
+        if lowest is None:
+            return []
+        return [r["word"] for r in counted.where(F.col("step") >= lowest).select("word").collect()]
+    finally:
+        counted.unpersist()
 
 
 def bpe(
@@ -343,8 +359,9 @@ def bpe(
     Lexicon.write(made, spec, (w for w in words if "\0" not in w))
     with open(made, "rb") as f:
         name = f"lexicon-{hashlib.sha256(f.read()).hexdigest()[:32]}"
-    os.rename(made, os.path.join(folder, name))
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    if not os.path.exists(SparkFiles.get(name)):  # else a call before gave the same file out
+        os.rename(made, os.path.join(folder, name))
+        spark.sparkContext.addFile(os.path.join(folder, name))
 
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = ", ".join([f"`{doc_id}` {id_type}", *(f"{o} {OUTPUT[o]}" for o in outputs)])
