@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from promolens.llm.bpe import bpe
 from promolens.llm.common import table, vocabulary_path
 from promolens.llm.html_text import html_text
+from promolens.llm.jaccard_join import jaccard_join
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
 from promolens.llm.quality import quality
 from promolens.llm.secrets import BASE_RULES, secret_scan
@@ -65,6 +66,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(docs, vocabulary_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join(docs).select(F.col("id").alias("doc_id"), "class_id", "n_copies", "n_links")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality(docs, table(spark, sf_dir, "labels"))
@@ -130,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter,
         op2_bpe,
+        op3_jaccard_join,
         op4_quality,
         op5_line_dedup,
         op7_toxicity,
