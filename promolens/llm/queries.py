@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.bpe import bpe
 from promolens.llm.common import table, vocabulary_path
+from promolens.llm.decontaminate import benchmark_matches
 from promolens.llm.html_text import html_text
 from promolens.llm.jaccard_join import jaccard_join
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
@@ -102,6 +103,11 @@ def _op5_sql() -> str:
     """
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return benchmark_matches(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity(docs, table(spark, sf_dir, "labels"))
@@ -139,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_jaccard_join,
         op4_quality,
         op5_line_dedup,
+        op6_decontamination,
         op7_toxicity,
         op8_secrets,
         op10_html_text,
