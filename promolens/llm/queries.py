@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from promolens.llm.bpe import bpe
 from promolens.llm.common import table, vocabulary_path
 from promolens.llm.decontaminate import benchmark_matches
+from promolens.llm.fingerprints import edited_fingerprints
 from promolens.llm.html_text import html_text
 from promolens.llm.jaccard_join import jaccard_join
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
@@ -132,6 +133,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_text(pages, keep=["url"])
@@ -148,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_decontamination,
         op7_toxicity,
         op8_secrets,
+        op9_fingerprints,
         op10_html_text,
     )
 }
