@@ -2,50 +2,55 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.functions import percent
 
 
-def _checkpoint_folder(spark: SparkSession) -> None:
-    """Use the folder the cluster names; a local session without one gets a folder of its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="promolens-checkpoint-")
-    context.setCheckpointDir(folder)
+#: Limits between ranges of values.
+_LIMITS = 128
 
 
-def distributed_ntile(df: DataFrame, order: Sequence[Column], tiles: int, name: str) -> DataFrame:
-    """``ntile(tiles)`` over all rows in ``order``, without moving them into one task.
+def _ranged(df: DataFrame, measure: str, key: str) -> DataFrame:
+    """``df`` with ``_range``, the number of a row's range of values, larger measures first.
 
-    ``order`` must be total. Rows are range-partitioned and sorted, each gets its place within
-    its partition, and that numbering is checkpointed so that a lost executor cannot change it.
-    The only table that is broadcast has one row per partition.
+    The limits are the (measure, key) of the rows with the smallest hashes, a fixed number of them
+    that depends on the rows alone. They are found when the query runs, as a subquery of one row.
     """
-    _checkpoint_folder(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_partition", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-        .checkpoint()
-    )
-    by_partition = Window.orderBy("_partition")
+    drawn = df.select(F.col(measure).alias("m"), F.col(key).alias("k")).orderBy(F.xxhash64("m", "k"), "k").limit(_LIMITS)
+    limits = drawn.agg(F.collect_list(F.struct("m", "k"))).scalar()
+    m, k = F.col(measure), F.col(key)
+
+    def comes_before(limit: Column) -> Column:
+        larger = F.coalesce(limit["m"] > m, limit["m"].isNotNull() & m.isNull())
+        return larger | (limit["m"].eqNullSafe(m) & (limit["k"] < k))
+
+    before = F.size(F.filter("_limits", comes_before))
+    return df.withColumn("_limits", limits).withColumn("_range", before).drop("_limits")
+
+
+def distributed_ntile(df: DataFrame, measure: str, key: str, tiles: int, name: str) -> DataFrame:
+    """``ntile(tiles)`` over all rows, largest ``measure`` first, without moving them into one task.
+
+    Equal measures go by ``key``, which has to be unique; NULL measures come last. Rows are numbered
+    within ranges of (measure, key), to which the rows of the ranges before are added. A row's
+    place depends on values only, so a repeated task gives it the same number, and nothing is
+    stored. Ranges of equal size on average split a measure that very many rows share as well.
+    """
+    ranged = _ranged(df, measure, key)
+    in_range = Window.partitionBy("_range").orderBy(F.col(measure).desc_nulls_last(), F.col(key).asc())
+    placed = ranged.withColumn("_place", F.row_number().over(in_range) - 1)
+    by_range = Window.orderBy("_range")
+    # The windows run over one row per range.
     starts = (
-        placed.groupBy("_partition")
+        ranged.groupBy("_range")
         .agg(F.count("*").alias("_rows"))
         .select(
-            "_partition",
-            (F.sum("_rows").over(by_partition) - F.col("_rows")).alias("_before"),
+            "_range",
+            (F.sum("_rows").over(by_range) - F.col("_rows")).alias("_before"),
             F.sum("_rows").over(Window.partitionBy()).alias("_total"),
         )
     )
@@ -60,9 +65,9 @@ def distributed_ntile(df: DataFrame, order: Sequence[Column], tiles: int, name:
         f"div greatest({small}, 1) END"
     )
     return (
-        placed.join(F.broadcast(starts), "_partition")
+        placed.join(F.broadcast(starts), "_range")  # _LIMITS + 1 rows at most
         .withColumn(name, tile)
-        .drop("_partition", "_place", "_before", "_total")
+        .drop("_range", "_place", "_before", "_total")
     )
 
 
@@ -71,9 +76,8 @@ def concentration(df: DataFrame, key: str, measure: str, tiles: int = 5) -> Data
 
     Equal amounts are ordered by ``key``, which has to be unique.
     """
-    order = (F.col(measure).desc_nulls_last(), F.col(key).asc())
     per_tile = (
-        distributed_ntile(df.select(key, measure), order, tiles, "tile")
+        distributed_ntile(df.select(key, measure), measure, key, tiles, "tile")
         .groupBy("tile")
         .agg(F.count("*").alias("members"), F.sum(measure).alias("total"))
     )

@@ -5,7 +5,6 @@ import sample
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from promolens.operators.lookup import hot_keys, lookup
 from promolens.operators.ranking import distributed_ntile, top_k_ranked
 from promolens.operators.rollup import campaign_totals, one_row
 
@@ -27,7 +26,7 @@ def test_ntile_against_brute_force(spark, n, tiles):
     seeded = random.Random(n)
     rows = [(i, seeded.choice([0, 0, 1, 2, 500])) for i in range(n)]
     df = spark.createDataFrame(rows, "id long, v long").repartition(6)
-    got = distributed_ntile(df, (F.desc("v"), F.col("id").asc()), tiles, "tile").collect()
+    got = distributed_ntile(df, "v", "id", tiles, "tile").collect()
     order = [i for i, v in sorted(rows, key=lambda r: (-r[1], r[0]))]
     assert {r.id: r.tile for r in got} == ntile(order, tiles)
 
@@ -39,7 +38,7 @@ def test_ntile_against_window_on_many_rows(spark, adaptive):
         "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.xxhash64("id") % 1000).alias("v")
     )
     order = (F.desc("v"), F.col("id").asc())
-    tiled = distributed_ntile(df, order, 5, "tile")
+    tiled = distributed_ntile(df, "v", "id", 5, "tile")
     expected = df.select("id", F.ntile(5).over(Window.orderBy(*order)).alias("expected"))
     both = tiled.join(expected, "id")
     try:
@@ -57,51 +56,22 @@ def test_top_k_rank_is_the_global_rank(spark):
     assert sorted((r.id, r.r) for r in got) == sorted((r.id, r.r) for r in expected)
 
 
-@pytest.fixture(scope="module")
-def skewed(spark):
-    """Key 7 holds a third of the rows, one group of identical rows included."""
-    return spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("k"),
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("v"),
-    )
-
-
-def test_hot_keys_are_found(spark, skewed):
-    assert hot_keys(skewed, "k", rows_per_task=3000) == {"k": {7: 4}}
-    assert hot_keys(skewed, "k", "v", rows_per_task=9000) == {"k": {7: 2}, "v": {1: 2}}
-    assert hot_keys(skewed, "k") == {"k": {}}
-
-
-def test_hot_keys_of_empty_and_null_columns(spark):
-    nothing = spark.createDataFrame([], "k long")
-    assert hot_keys(nothing, "k", rows_per_task=1) == {"k": {}}
-    nulls = spark.range(10).select(F.lit(None).cast("long").alias("k"))
-    assert hot_keys(nulls, "k", rows_per_task=1) == {"k": {}}
+def test_ntile_starts_no_job_and_stores_nothing(spark, tmp_path):
+    done = spark.sparkContext.statusTracker()
+    before = len(done.getJobIdsForGroup())
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
+    plan = distributed_ntile(df, "v", "id", 5, "tile")._jdf.queryExecution().executedPlan().toString()
+    assert len(done.getJobIdsForGroup()) == before
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_lookup_with_hot_keys_keeps_every_row(spark, skewed):
-    one = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
-    plain = skewed.join(one, "k")
-    hot = hot_keys(skewed, "k", rows_per_task=3000)["k"]
-    split = lookup(skewed, one, "k", hot, F.monotonically_increasing_id())
-    assert split.columns == plain.columns
-    assert split.exceptAll(plain).count() == 0
-    assert plain.exceptAll(split).count() == 0
-
-
-def test_lookup_spreads_a_hot_key(spark, skewed):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        one = spark.range(400).select(F.col("id").alias("k"))
-        split = lookup(skewed, one, "k", {7: 40}, F.monotonically_increasing_id())
-        by_task = split.filter("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    total = sum(r["count"] for r in by_task)
-    assert len(by_task) >= 6
-    assert max(r["count"] for r in by_task) < total / 2
+def test_ntile_of_null_measures(spark):
+    rows = [(i, None if i % 4 == 0 else i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v int")
+    got = {r.id: r.tile for r in distributed_ntile(df, "v", "id", 4, "tile").collect()}
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert got == ntile([i for i, _ in order], 4)
 
 
 def test_money_totals_are_exact(spark):
