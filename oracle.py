@@ -6,6 +6,7 @@ these tables in front. Money comes back as DOUBLE and dates as text, like the re
 
 from __future__ import annotations
 
+from promolens.plans.performance import BUDGET_BANDS, TOP_BUDGET_BAND
 from promolens.schemas import SPECS
 
 TABLES = {
@@ -28,15 +29,18 @@ TABLES = {
                p_size * 60 AS duration_seconds, (p_size - 1) * 10000 AS baseline_views
         FROM part""",
     "campaigns": """
-        SELECT o_orderkey AS campaign_id, o_custkey AS creator_id,
-               o_orderkey * 2 // 15 AS video_id, CAST(o_orderdate AS DATE) AS start_date,
+        SELECT o_orderkey AS campaign_id,
+               CASE WHEN o_orderkey % 400 = 33 THEN -o_custkey ELSE o_custkey END AS creator_id,
+               CASE WHEN o_orderkey % 300 = 7 THEN -o_orderkey ELSE o_orderkey * 2 // 15 END
+                   AS video_id, CAST(o_orderdate AS DATE) AS start_date,
                CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) + 14 END AS end_date,
                CAST(CAST(FLOOR(o_totalprice / 2) AS BIGINT) * 0.01 AS DECIMAL(10,2)) AS budget_usd,
                o_orderpriority AS campaign_type, CAST(NULL AS VARCHAR) AS target_country,
                o_orderstatus AS target_age_group, 'Active' AS status
         FROM orders""",
     "campaign_daily_metrics": """
-        SELECT l_orderkey * 8 + l_linenumber AS metric_id, l_orderkey AS campaign_id,
+        SELECT l_orderkey * 8 + l_linenumber AS metric_id,
+               CASE WHEN l_orderkey % 500 = 5 THEN -l_orderkey ELSE l_orderkey END AS campaign_id,
                CAST(o_orderdate AS DATE) + CAST((l_linenumber - 1) * 3 AS INTEGER) AS metric_date,
                CAST(l_quantity AS INTEGER) * (8000 + 500 * l_linenumber) AS impressions,
                CAST(l_quantity AS INTEGER) * 1000 AS views,
@@ -48,7 +52,8 @@ TABLES = {
                     ELSE CAST(CAST(FLOOR(l_extendedprice / 10) AS BIGINT) * 0.01
                               AS DECIMAL(10,2)) END AS spend_usd,
                CAST(l_quantity * 1500 AS DECIMAL(10,2)) AS watch_time_mins
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+        FROM lineitem LEFT JOIN orders ON o_orderkey =
+             CASE WHEN l_orderkey % 500 = 5 THEN -l_orderkey ELSE l_orderkey END""",
     "competitor_benchmarks": """
         SELECT any_value(r_regionkey) * 10000 + ascii(p_type) * 100 + ascii(substr(p_type, 2, 1))
                    AS bench_id,
@@ -74,7 +79,8 @@ TABLES = {
               JOIN region ON n_regionkey = r_regionkey) sold
         GROUP BY r_name, p_type""",
     "creator_events": """
-        SELECT event_id, user_id AS creator_id,
+        SELECT event_id,
+               CASE WHEN event_id % 300 = 11 THEN -user_id ELSE user_id END AS creator_id,
                CASE WHEN event_type = 'error' THEN 'churn' ELSE event_type END AS event_type,
                CAST(ts AS DATE) AS event_date, props AS notes
         FROM events""",
@@ -129,7 +135,7 @@ def _q01(upgraded: tuple[str, ...]) -> str:
             (SELECT COUNT(DISTINCT creator_id) FROM campaigns) AS ran_one_campaign,
             (SELECT COUNT(*) FROM (SELECT creator_id FROM campaigns
                                    WHERE creator_id IS NOT NULL GROUP BY creator_id
-                                   HAVING COUNT(campaign_id) > 1) AS again)
+                                   HAVING COUNT(campaign_id) >= 2) AS again)
                 AS ran_multiple_campaigns,
             (SELECT COUNT(DISTINCT creator_id) FROM creators WHERE plan_type IN ({plans}))
                 AS upgraded_plan) AS stages"""
@@ -145,6 +151,10 @@ _Q02 = f"""
     FROM {_PROMOTED} JOIN videos AS v ON v.video_id = c.video_id
     GROUP BY v.category"""
 
+def _within(months: int) -> str:
+    return f"COUNT(DISTINCT CASE WHEN gap <= {months} THEN creator_id END)"
+
+
 _Q03 = f"""
     WITH started AS (
         SELECT creator_id, MIN(start_date) AS first_day FROM campaigns GROUP BY creator_id),
@@ -152,13 +162,11 @@ _Q03 = f"""
         SELECT cr.creator_id, strftime(cr.signup_date, '%Y-%m') AS cohort_month,
                {_months('cr.signup_date', 's.first_day')} AS gap
         FROM creators AS cr LEFT JOIN started AS s ON s.creator_id = cr.creator_id)
-    SELECT cohort_month, COUNT(*) AS cohort_size,
-           COUNT(*) FILTER (WHERE gap <= 1) AS retained_m1,
-           COUNT(*) FILTER (WHERE gap <= 2) AS retained_m2,
-           COUNT(*) FILTER (WHERE gap <= 3) AS retained_m3,
-           COUNT(*) FILTER (WHERE gap <= 6) AS retained_m6,
-           {_pct('COUNT(*) FILTER (WHERE gap <= 1)', 'COUNT(*)')} AS pct_m1,
-           {_pct('COUNT(*) FILTER (WHERE gap <= 3)', 'COUNT(*)')} AS pct_m3
+    SELECT cohort_month, COUNT(DISTINCT creator_id) AS cohort_size,
+           {_within(1)} AS retained_m1, {_within(2)} AS retained_m2,
+           {_within(3)} AS retained_m3, {_within(6)} AS retained_m6,
+           {_pct(_within(1), 'COUNT(DISTINCT creator_id)')} AS pct_m1,
+           {_pct(_within(3), 'COUNT(DISTINCT creator_id)')} AS pct_m3
     FROM gaps GROUP BY cohort_month"""
 
 _Q04 = f"""
@@ -221,9 +229,9 @@ def _churn(as_of: str, placeholder: bool) -> str:
         SELECT cr.creator_id, cr.name, cr.plan_type, {_usd('cr.monthly_revenue')} AS mrr_usd,
                {_big('age')} AS {age}, {extra}
                CASE WHEN late * 10 < early * 7 THEN 'Declining' ELSE 'Stable' END AS view_trend,
-               CASE WHEN age <= 60 THEN 'LOW{mark}'
-                    WHEN late * 10 < early * 7 THEN 'HIGH{mark}'
-                    ELSE 'MEDIUM{mark}' END AS churn_risk
+               CASE WHEN age > 60 AND late * 10 < early * 7 THEN 'HIGH{mark}'
+                    WHEN age > 60 THEN 'MEDIUM{mark}'
+                    ELSE 'LOW{mark}' END AS churn_risk
         FROM seen JOIN creators AS cr ON cr.creator_id = seen.creator_id AND cr.is_active"""
 
 
@@ -264,12 +272,11 @@ def _q08(average_budget: str, extra_join: str = "") -> str:
         GROUP BY c.campaign_type"""
 
 
-_BAND = """CASE WHEN budget_usd >= 2000 OR budget_usd IS NULL THEN 'Above $2000'
-                WHEN budget_usd >= 1000 THEN '$1000–2000'
-                WHEN budget_usd >= 500 THEN '$500–1000'
-                WHEN budget_usd >= 200 THEN '$200–500'
-                WHEN budget_usd >= 100 THEN '$100–200'
-                ELSE 'Under $100' END"""
+_BAND = (
+    "CASE "
+    + " ".join(f"WHEN budget_usd < {bound} THEN '{label}'" for bound, label in BUDGET_BANDS)
+    + f" ELSE '{TOP_BUDGET_BAND}' END"
+)
 
 
 def _q15(average_budget: str, extra_join: str = "") -> str:
@@ -315,9 +322,9 @@ def _q10(home: str) -> str:
                {lead('avg_ctr_pct')} AS ctr_diff,
                {_usd('ours.avg_roas')} AS home_roas, {_usd('peer.avg_roas')} AS competitor_roas,
                {lead('avg_roas')} AS roas_advantage,
-               CASE WHEN peer.avg_roas < ours.avg_roas THEN
-                        CASE WHEN peer.avg_cpm_usd > ours.avg_cpm_usd THEN 'Strong Advantage'
-                             ELSE 'Partial Advantage' END
+               CASE WHEN ours.avg_roas > peer.avg_roas AND ours.avg_cpm_usd < peer.avg_cpm_usd
+                        THEN 'Strong Advantage'
+                    WHEN ours.avg_roas > peer.avg_roas THEN 'Partial Advantage'
                     ELSE 'Disadvantage' END AS competitive_position
         FROM competitor_benchmarks AS ours, competitor_benchmarks AS peer
         WHERE ours.competitor_name = '{home}' AND peer.competitor_name <> '{home}'

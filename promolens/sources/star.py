@@ -2,8 +2,8 @@
 
 Customers act as creators, parts as videos, orders as campaigns and line items as daily metrics,
 so that every report can run on the generated star-schema tables at any scale. Some rows break
-a declared rule on purpose (an unknown creator, a missing date, shared emails), to give the
-quality checks something to find.
+a declared rule on purpose (a missing date, shared emails, and for every foreign key values without
+a parent), to give the quality checks something to find.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.operators.lookup import HotKeys, hot_keys, lookup
 from promolens.schemas import METRICS, SPECS
 from promolens.sources.files import conform
 from promolens.sources.tables import CampaignTables
@@ -86,8 +85,8 @@ class StarTables:
     def campaigns(self) -> DataFrame:
         shaped = self._read("orders").selectExpr(
             "o_orderkey AS campaign_id",
-            "o_custkey AS creator_id",
-            "o_orderkey * 2 DIV 15 AS video_id",
+            "IF(o_orderkey % 400 = 33, -o_custkey, o_custkey) AS creator_id",
+            "IF(o_orderkey % 300 = 7, -o_orderkey, o_orderkey * 2 DIV 15) AS video_id",
             f"{_START_DATE} AS start_date",
             f"CASE WHEN o_orderstatus <> 'O' THEN date_add({_START_DATE}, 14) END AS end_date",
             "CAST(CAST(FLOOR(o_totalprice / 2) AS INT) * 0.01 AS DECIMAL(10,2)) AS budget_usd",
@@ -99,7 +98,7 @@ class StarTables:
     def _undated_metrics(self) -> DataFrame:
         return self._read("lineitem").selectExpr(
             "l_orderkey * 8 + l_linenumber AS metric_id",
-            "l_orderkey AS campaign_id",
+            "IF(l_orderkey % 500 = 5, -l_orderkey, l_orderkey) AS campaign_id",
             "l_linenumber",
             f"{_QUANTITY} * (8000 + 500 * l_linenumber) AS impressions",
             f"{_QUANTITY} * 1000 AS views",
@@ -110,21 +109,16 @@ class StarTables:
             f"CAST({_QUANTITY} * 1500 AS DECIMAL(10,2)) AS watch_time_mins",
         )
 
-    def _hot_campaigns(self) -> HotKeys:
-        return hot_keys(self._undated_metrics(), "campaign_id")["campaign_id"]
-
-    def campaign_daily_metrics(self, hot: HotKeys | None = None) -> DataFrame:
-        """Daily metrics. Dates count from the campaign's start, which is looked up if ``hot``,
-        the campaigns with very many rows, is given; otherwise the date is NULL."""
+    def campaign_daily_metrics(self, dated: bool = True) -> DataFrame:
+        """Daily metrics. Dates count from the campaign's start, which is looked up if ``dated``;
+        otherwise, and for an unknown campaign, the date is NULL. The rows are the same."""
         metrics = self._undated_metrics()
         day = F.lit(None)
-        if hot is not None:
+        if dated:
             starts = self._read("orders").selectExpr(
                 "o_orderkey AS campaign_id", f"{_START_DATE} AS start_date"
             )
-            # Numbered while scanning, so that even identical rows are spread.
-            spread = F.monotonically_increasing_id()
-            metrics = lookup(metrics, starts, "campaign_id", hot, spread)
+            metrics = metrics.join(starts, "campaign_id", "left")
             day = F.expr("date_add(start_date, CAST((l_linenumber - 1) * 3 AS INT))")
         return conform(metrics.withColumn("metric_date", day), "campaign_daily_metrics")
 
@@ -140,10 +134,11 @@ class StarTables:
         )
         sums = ("impressions", "quantity", "subscribers", "spend")
         types = self._read("part").selectExpr("p_partkey", "p_type AS category")
-        hot = hot_keys(items, "p_partkey")["p_partkey"]
-        # One row per supplier and type is left before the suppliers are joined.
+        # One row per supplier and part, then one per supplier and type, is left before each join.
         per_supplier = (
-            lookup(items, types, "p_partkey", hot, F.monotonically_increasing_id())
+            items.groupBy("p_partkey", "l_suppkey")
+            .agg(*(F.sum(c).alias(c) for c in sums))
+            .join(types, "p_partkey")
             .groupBy("l_suppkey", "category")
             .agg(*(F.sum(c).alias(c) for c in sums))
         )
@@ -181,7 +176,7 @@ class StarTables:
     def creator_events(self) -> DataFrame:
         shaped = self._read("events").selectExpr(
             "event_id",
-            "user_id AS creator_id",
+            "IF(event_id % 300 = 11, -user_id, user_id) AS creator_id",
             "IF(event_type = 'error', 'churn', event_type) AS event_type",
             "CAST(ts AS DATE) AS event_date",
             "props AS notes",
@@ -190,9 +185,8 @@ class StarTables:
 
     def tables(self, *names: str, dated: bool = False) -> CampaignTables:
         """The named tables, or all of them; the metrics have dates if ``dated``."""
-        hot = self._hot_campaigns() if dated else None
         built = {
-            name: self.campaign_daily_metrics(hot) if name == METRICS.name else getattr(self, name)()
+            name: self.campaign_daily_metrics(dated) if name == METRICS.name else getattr(self, name)()
             for name in names or SPECS
         }
-        return CampaignTables(**built, known_hot_campaigns=hot)
+        return CampaignTables(**built)
