@@ -13,7 +13,9 @@ def peer_benchmark(
 ) -> DataFrame:
     """``home`` against every competitor of the same category.
 
-    ``match_month`` also requires the same benchmark month, for tables that hold several.
+    ``match_month`` also requires the same benchmark month, for tables that hold several. Without
+    it every month of the home brand is compared with every month of a competitor, as the report
+    is defined: the rows of a category multiply.
     """
     keys = ["category", "benchmark_month"] if match_month else ["category"]
     kpis = {"cpm": "avg_cpm_usd", "ctr": "avg_ctr_pct", "roas": "avg_roas"}

@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import completed_months, percent, ratio, round_to, year_month
-from promolens.operators.lookup import HotKeys, fold_hot
 
 
 def first_campaigns(campaigns: DataFrame) -> DataFrame:
@@ -105,60 +105,66 @@ class RiskLabels:
     low: str = "LOW"
 
 
-def churn_signals(
-    creators: DataFrame,
-    campaigns: DataFrame,
-    metrics: DataFrame,
-    as_of: dt.date,
-    *,
-    hot_campaigns: HotKeys,
-    from_start_only: bool = True,
-    labels: RiskLabels = RiskLabels(),
-    week_days: int = 7,
-    stale_after_days: int = 60,
+def latest_campaign_views(
+    creators: DataFrame, campaigns: DataFrame, metrics: DataFrame, week_days: int = 7
 ) -> DataFrame:
-    """Active creators with the age and the view trend of their latest campaign.
+    """Active creators with the start of their latest campaign and its views around that start.
 
-    Views up to ``week_days`` after the latest start count as the first week, later ones as the
-    rest; the trend is declining when the rest is below 70 % of the first week. With
-    ``from_start_only=False`` views from before the start count as first-week views too.
+    ``first_week_views`` are those from the start to ``week_days`` after it, ``early_views`` those
+    from before the start, ``later_views`` the rest. Creators without a metric row are left out.
 
-    The rows of ``hot_campaigns`` are summed per day before they are joined.
+    The one join that takes the daily rows is followed by a regrouping, so adaptive execution may
+    split a campaign that holds a large part of them.
     """
     latest = campaigns.groupBy("creator_id").agg(
         F.max("start_date").alias("last_start"), F.max("campaign_id").alias("campaign_id")
     )
-    views = fold_hot(
-        metrics.select("campaign_id", "metric_date", F.col("views").cast("long")),
-        "campaign_id",
-        hot_campaigns,
-        "metric_date",
-        F.sum("views").alias("views"),
+    starts = (
+        creators.filter("is_active")
+        .select("creator_id", "name", "plan_type", "monthly_revenue")
+        .join(latest, "creator_id")
     )
-
     day, start = F.col("metric_date"), F.col("last_start")
     week_end = F.date_add(start, week_days)
-    first_week = day.between(start, week_end) if from_start_only else day <= week_end
 
     def views_if(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("views")).otherwise(0))
+        return F.sum(F.when(condition, F.col("views").cast("long")).otherwise(0))
 
-    trend = (
-        creators.filter("is_active")
-        .select("creator_id", "name", "plan_type", "monthly_revenue")
-        .join(latest, "creator_id")
-        .join(views, "campaign_id")
+    return (
+        metrics.select("campaign_id", "metric_date", "views")
+        .join(starts, "campaign_id")
         .groupBy("creator_id", "name", "plan_type", "monthly_revenue", "last_start")
         .agg(
-            views_if(first_week).alias("first_week_views"),
+            views_if(day < start).alias("early_views"),
+            views_if(day.between(start, week_end)).alias("first_week_views"),
             views_if(day > week_end).alias("later_views"),
         )
     )
+
+
+def churn_signals(
+    latest_views: DataFrame,
+    as_of: dt.date,
+    *,
+    from_start_only: bool = True,
+    labels: RiskLabels = RiskLabels(),
+    stale_after_days: int = 60,
+    declining_below: Decimal = Decimal("0.7"),
+) -> DataFrame:
+    """The age and the view trend of each creator's latest campaign, from ``latest_campaign_views``.
+
+    The trend is declining when the later views are below ``declining_below`` of those of the first
+    week. With ``from_start_only=False`` views from before the start count as first-week views too.
+    """
+    first_week = F.col("first_week_views")
+    if not from_start_only:
+        first_week = first_week + F.col("early_views")
     days_since = F.datediff(F.lit(as_of), F.col("last_start"))
     stale = days_since > stale_after_days
-    declining = F.col("later_views") * 10 < F.col("first_week_views") * 7
-    return trend.withColumns(
+    declining = F.col("later_views") < first_week * F.lit(declining_below)
+    return latest_views.withColumns(
         {
+            "first_week_views": first_week,
             "days_since_last": days_since,
             "view_trend": F.when(declining, "Declining").otherwise("Stable"),
             "churn_risk": F.when(stale & declining, labels.high)

@@ -1,7 +1,8 @@
 """Checks for the limits that the table declarations state and files do not enforce.
 
-Every check reads each table once and returns the offending rows or keys; an empty result means
-that the tables keep the rule.
+Every check returns the offending rows or keys; an empty result means that the tables keep the
+rule. A check reads a table once for each role that the table has in it: a parent of three foreign
+keys is read three times.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.operators.lookup import fold_hot
 from promolens.schemas import SPECS, TableSpec
 from promolens.sources.tables import CampaignTables
 
@@ -159,22 +159,14 @@ def dq_domain(t: CampaignTables) -> DataFrame:
 
 def dq_metric_in_flight(t: CampaignTables) -> DataFrame:
     """Campaign days with metrics outside the campaign's start and end; open ends never fail."""
-    days = t.campaign_daily_metrics.select(
-        "campaign_id",
-        "metric_date",
-        F.lit(1).cast("long").alias("metric_rows"),
-        F.col("metric_id").alias("first_metric_id"),
+    # One row per campaign and day is joined, so no campaign has more rows there than days.
+    days = t.campaign_daily_metrics.groupBy("campaign_id", "metric_date").agg(
+        F.count("*").alias("metric_rows"), F.min("metric_id").alias("first_metric_id")
     )
-    counts = (
-        F.sum("metric_rows").alias("metric_rows"),
-        F.min("first_metric_id").alias("first_metric_id"),
-    )
-    days = fold_hot(days, "campaign_id", t.hot_campaigns, "metric_date", *counts)
     flights = t.campaigns.select("campaign_id", "start_date", "end_date")
     day = F.col("metric_date")
     return (
         days.join(flights, "campaign_id")
         .filter((day < F.col("start_date")) | (day > F.col("end_date")))
-        .groupBy("campaign_id", "metric_date", "start_date", "end_date")
-        .agg(*counts)
+        .select("campaign_id", "metric_date", "start_date", "end_date", "metric_rows", "first_metric_id")
     )

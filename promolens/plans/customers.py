@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from promolens.functions import money, ratio, round_to
 from promolens.operators.lifecycle import RiskLabels, churn_signals, tenure_ltv
-from promolens.operators.lookup import hot_keys, lookup
 from promolens.operators.ranking import concentration, top_k_ranked
 from promolens.operators.rollup import delivered, kpi_rollup
 from promolens.sources.tables import CampaignTables
@@ -22,68 +21,45 @@ def q05_ltv_by_plan(t: CampaignTables, as_of: dt.date) -> DataFrame:
 
 
 def q06_churn_risk(t: CampaignTables, as_of: dt.date) -> DataFrame:
-    """Churn risk of active creators from their latest campaign."""
-    return (
-        churn_signals(
-            t.creators,
-            t.campaigns,
-            t.campaign_daily_metrics,
-            as_of,
-            hot_campaigns=t.hot_campaigns,
-        )
-        .select(
-            "creator_id",
-            "name",
-            "plan_type",
-            F.col("monthly_revenue").alias("mrr_usd"),
-            "days_since_last",
-            "view_trend",
-            "churn_risk",
-        )
-        .orderBy(F.desc("days_since_last"), "creator_id")
+    """Churn risk of active creators from their latest campaign, in no particular order."""
+    return churn_signals(t.latest_views, as_of).select(
+        "creator_id",
+        "name",
+        "plan_type",
+        F.col("monthly_revenue").alias("mrr_usd"),
+        "days_since_last",
+        "view_trend",
+        "churn_risk",
     )
 
 
 def q06a_churn_risk_placeholder(t: CampaignTables, as_of: dt.date) -> DataFrame:
     """First form of the churn report: shows the views, and counts early ones as first week."""
     labels = RiskLabels("HIGH RISK", "MEDIUM RISK", "LOW RISK")
-    return (
-        churn_signals(
-            t.creators,
-            t.campaigns,
-            t.campaign_daily_metrics,
-            as_of,
-            hot_campaigns=t.hot_campaigns,
-            from_start_only=False,
-            labels=labels,
-        )
-        .select(
-            "creator_id",
-            "name",
-            "plan_type",
-            F.col("monthly_revenue").alias("mrr_usd"),
-            F.col("days_since_last").alias("days_since_last_campaign"),
-            "first_week_views",
-            F.col("later_views").alias("latter_views"),
-            "view_trend",
-            "churn_risk",
-        )
-        .orderBy(F.desc("days_since_last_campaign"), "creator_id")
+    signals = churn_signals(t.latest_views, as_of, from_start_only=False, labels=labels)
+    return signals.select(
+        "creator_id",
+        "name",
+        "plan_type",
+        F.col("monthly_revenue").alias("mrr_usd"),
+        F.col("days_since_last").alias("days_since_last_campaign"),
+        "first_week_views",
+        F.col("later_views").alias("latter_views"),
+        "view_trend",
+        "churn_risk",
     )
 
 
 def q11_top_creators_by_spend(t: CampaignTables, k: int = 10) -> DataFrame:
     """The ``k`` highest-spending (creator, video category) pairs."""
-    hot_videos = hot_keys(t.campaigns, "video_id")["video_id"]
     categories = t.videos.select("video_id", "category")
-    placed = lookup(delivered(t.facts), categories, "video_id", hot_videos, F.xxhash64("campaign_id"))
+    placed = delivered(t.facts).join(categories, "video_id")
     # A creator has at most one row per category from here on.
     per_pair = kpi_rollup(placed, "creator_id", "category")
-    pairs = per_pair.join(t.creators.select("creator_id", "name", "plan_type"), "creator_id")
+    # Creators are only known to exist until k pairs are left, which get name and plan.
+    pairs = per_pair.join(t.creators.select("creator_id"), "creator_id", "left_semi")
     lifetime = pairs.select(
         "creator_id",
-        "name",
-        "plan_type",
         F.col("category").alias("primary_category"),
         F.col("campaigns").alias("total_campaigns"),
         money(F.col("spend_usd")).alias("lifetime_spend_usd"),
@@ -93,7 +69,8 @@ def q11_top_creators_by_spend(t: CampaignTables, k: int = 10) -> DataFrame:
     )
     ties = ("creator_id", "primary_category")
     ranked = top_k_ranked(lifetime, k, "lifetime_spend_usd", ties, "spend_rank")
-    return ranked.orderBy("spend_rank", *ties)
+    named = ranked.join(t.creators.select("creator_id", "name", "plan_type"), "creator_id")
+    return named.select("creator_id", "name", "plan_type", *ranked.columns[1:]).orderBy("spend_rank", *ties)
 
 
 def q14_revenue_concentration(t: CampaignTables, tiles: int = 5) -> DataFrame:

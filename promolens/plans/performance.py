@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from promolens.functions import money, percent, ratio, round_to
 from promolens.operators.benchmark import peer_benchmark
-from promolens.operators.lookup import hot_keys, lookup
 from promolens.operators.ranking import top_k
 from promolens.operators.rollup import delivered, kpi_rollup
 from promolens.sources.tables import CampaignTables
@@ -52,8 +51,6 @@ def q04_top_campaigns_roas(
     t: CampaignTables, k: int = 10, value_per_view: float = 0.0005
 ) -> DataFrame:
     """The ``k`` campaigns with the best return on ad spend; equal returns go by campaign id."""
-    hot = hot_keys(t.campaigns, "creator_id", "video_id")
-    spread = F.xxhash64("campaign_id")
     value = F.col("views").cast("double") * value_per_view
     scored = delivered(t.facts).select(
         "campaign_id",
@@ -69,10 +66,13 @@ def q04_top_campaigns_roas(
     )
     names = t.creators.select("creator_id", F.col("name").alias("creator_name"))
     categories = t.videos.select("video_id", "category")
-    named = lookup(scored, names, "creator_id", hot["creator_id"], spread)
-    placed = lookup(named, categories, "video_id", hot["video_id"], spread)
-    best = top_k(placed, k, F.col("roas").desc_nulls_last(), F.col("campaign_id").asc())
-    return best.select(
+    # Only the ids take part until k campaigns are left; names and categories are for these.
+    known = scored.join(names.select("creator_id"), "creator_id", "left_semi").join(
+        categories.select("video_id"), "video_id", "left_semi"
+    )
+    order = (F.col("roas").desc_nulls_last(), F.col("campaign_id").asc())
+    best = top_k(known, k, *order).join(names, "creator_id").join(categories, "video_id")
+    return best.orderBy(*order).select(
         "campaign_id",
         "creator_name",
         "category",
@@ -145,10 +145,7 @@ def q13_organic_vs_promoted_uplift(t: CampaignTables) -> DataFrame:
     """Promoted views of each video against its organic baseline."""
     per_video = kpi_rollup(delivered(t.facts), "video_id")
     names = t.creators.select("creator_id", F.col("name").alias("creator_name"))
-    owners = hot_keys(t.videos, "creator_id")["creator_id"]
-    promoted = lookup(
-        t.videos.join(per_video, "video_id"), names, "creator_id", owners, F.xxhash64("video_id")
-    )
+    promoted = t.videos.join(per_video, "video_id").join(names, "creator_id")
     extra = F.col("views") - F.col("baseline_views")
     return promoted.select(
         "video_id",
@@ -163,7 +160,7 @@ def q13_organic_vs_promoted_uplift(t: CampaignTables) -> DataFrame:
         round_to(ratio(F.col("spend_usd"), extra, 1000), 2).alias(
             "cost_per_incremental_1000_views"
         ),
-    ).orderBy(F.desc("view_uplift_pct"), "video_id")
+    )
 
 
 def _budget_band(budget: Column) -> Column:

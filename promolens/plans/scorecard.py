@@ -73,7 +73,7 @@ def q16_gs(t: CampaignTables) -> DataFrame:
     campaigns = t.campaigns.agg(
         F.count("campaign_id").alias("total_campaigns"), F.sum("budget_usd").alias("budget")
     )
-    delivered = t.campaign_daily_metrics.agg(
+    delivered = t.totals.agg(
         F.sum("views").alias("views"),
         F.sum("new_subscribers").alias("subscribers"),
         F.sum("spend_usd").alias("spend"),

@@ -23,11 +23,15 @@ BUCKET_KEYS = {
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Give ``df`` the declared columns and types of ``table``.
 
-    A column the input does not have gets its declared default. An explicit NULL stays NULL: a
+    A column the input does not have gets its declared default, or NULL if it may be NULL; without
+    a required column that has no default the table is refused. An explicit NULL stays NULL: a
     default stands for "not supplied", and NULLs in required columns are the quality jobs' to find.
     """
     spec = SPECS[table]
     present = set(df.columns)
+    required = {spec.primary_key, *spec.not_null} - set(spec.defaults)
+    if missing := sorted(required - present):
+        raise ValueError(f"{table} has no column {', '.join(missing)}")
     return df.select(
         *(
             (F.col(f.name) if f.name in present else F.lit(spec.defaults.get(f.name)))
@@ -72,17 +76,12 @@ def write_table(df: DataFrame, table: str, path: str, mode: str = "errorifexists
 def write_bucketed(
     df: DataFrame, table: str, buckets: int, saved_as: str, mode: str = "errorifexists"
 ) -> None:
-    """Store one campaign table as a catalog table bucketed on its join key.
+    """Store one campaign table as a catalog table, bucketed on its join key if it has one.
 
     Daily metrics and campaigns share ``campaign_id``: with the same bucket count, summing the
     metrics per campaign and joining the campaigns needs no shuffle of either.
     """
-    key = BUCKET_KEYS[table]
-    (
-        conform(df, table)
-        .write.mode(mode)
-        .format("parquet")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .saveAsTable(saved_as)
-    )
+    writer = conform(df, table).write.mode(mode).format("parquet")
+    if key := BUCKET_KEYS.get(table):
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(saved_as)

@@ -6,7 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promolens.operators.lookup import HotKeys, hot_keys
+from promolens.operators.lifecycle import latest_campaign_views
 from promolens.operators.rollup import campaign_facts, campaign_totals
 from promolens.schemas import SPECS
 from promolens.sources.files import read_table
@@ -16,8 +16,8 @@ from promolens.sources.files import read_table
 class CampaignTables:
     """The campaign tables; a report needs only those that it reads.
 
-    ``stored_facts`` is an optional saved copy of ``facts``, the campaigns with their totals.
-    ``known_hot_campaigns`` are the campaigns with very many metric rows, where they are known.
+    The ``stored_`` frames are optional saved copies of ``totals``, ``facts`` and ``latest_views``,
+    all that the reports need of the daily rows.
     """
 
     creators: DataFrame | None = None
@@ -26,32 +26,65 @@ class CampaignTables:
     campaign_daily_metrics: DataFrame | None = None
     competitor_benchmarks: DataFrame | None = None
     creator_events: DataFrame | None = None
+    stored_totals: DataFrame | None = None
     stored_facts: DataFrame | None = None
-    known_hot_campaigns: HotKeys | None = None
+    stored_latest_views: DataFrame | None = None
 
     @classmethod
     def load(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> CampaignTables:
         """Tables stored as ``<root>/<table name>``."""
         return cls(**{name: read_table(spark, name, f"{root}/{name}", fmt) for name in SPECS})
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str) -> CampaignTables:
+        """Catalog tables of ``database``, such as ``write_bucketed`` makes.
+
+        They are taken as they are stored: a cast would hide the bucketing from the joins.
+        """
+        return cls(**{name: spark.table(f"{database}.{name}") for name in SPECS})
+
+    @property
+    def totals(self) -> DataFrame:
+        """The daily rows summed per campaign id, those of unknown campaigns included."""
+        if self.stored_totals is not None:
+            return self.stored_totals
+        return campaign_totals(self.campaign_daily_metrics)
+
     @property
     def facts(self) -> DataFrame:
         """One row per campaign: the stored facts if there are any, else computed on use."""
         if self.stored_facts is not None:
             return self.stored_facts
-        return campaign_facts(self.campaigns, campaign_totals(self.campaign_daily_metrics))
+        return campaign_facts(self.campaigns, self.totals)
 
     @property
-    def hot_campaigns(self) -> HotKeys:
-        """Campaigns with more metric rows than one task should join."""
-        if self.known_hot_campaigns is not None:
-            return self.known_hot_campaigns
-        return hot_keys(self.campaign_daily_metrics, "campaign_id")["campaign_id"]
+    def latest_views(self) -> DataFrame:
+        """Active creators with the views around the start of their latest campaign."""
+        if self.stored_latest_views is not None:
+            return self.stored_latest_views
+        return latest_campaign_views(self.creators, self.campaigns, self.campaign_daily_metrics)
 
     def with_facts(self, facts: DataFrame) -> CampaignTables:
         """Same tables, reading campaign facts that were saved earlier instead of the metrics."""
         return replace(self, stored_facts=facts)
 
+    def stored(self, spark: SparkSession, folder: str, mode: str = "errorifexists") -> CampaignTables:
+        """Same tables, with totals, facts and latest views saved in ``folder`` and read from there.
+
+        The daily rows are read twice for that, and by no report after it.
+        """
+
+        def saved(name: str, df: DataFrame) -> DataFrame:
+            df.write.mode(mode).parquet(f"{folder}/{name}")
+            return spark.read.parquet(f"{folder}/{name}")
+
+        known = replace(self, stored_totals=saved("campaign_totals", self.totals))
+        return replace(
+            known,
+            stored_facts=saved("campaign_facts", known.facts),
+            stored_latest_views=saved("latest_views", known.latest_views),
+        )
+
     def items(self) -> list[tuple[str, DataFrame]]:
         """Name and data of every table that is present."""
         present = ((name, getattr(self, name)) for name in SPECS)

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 import compare
 import sample
-from promolens import jobs
+from promolens import jobs, plans
 from promolens.operators.rollup import campaign_facts, campaign_totals, kpi_rollup
 from promolens.schemas import SPECS
 from promolens.sources import CampaignTables, conform, read_table, write_bucketed, write_table
@@ -60,7 +60,9 @@ def test_stored_tables_come_back_unchanged(spark, tables, tmp_path):
 
 
 def test_conform_drops_unknown_columns(spark):
-    df = spark.createDataFrame([(1, 5, "x")], "video_id int, creator_id int, extra string")
+    df = spark.createDataFrame(
+        [(1, 5, "2023-01-31", "x")], "video_id int, creator_id int, upload_date string, extra string"
+    )
     row = conform(df, "videos").first()
     assert (row.video_id, row.baseline_views, row.title) == (1, 0, None)
     assert "extra" not in row
@@ -92,9 +94,67 @@ def test_ingest_and_report_jobs(spark, tables, tmp_path):
     jobs.ingest(spark, str(raw), str(tmp_path / "typed"), "csv")
     late = spark.read.parquet(str(tmp_path / "typed/_quality/dq_metric_in_flight"))
     assert late.count() == 2
-    jobs.write_reports(
-        spark, str(tmp_path / "typed"), str(tmp_path / "out"), sample.AS_OF, sample.HOME
-    )
+    again = jobs.ingest(spark, str(raw), str(tmp_path / "typed"), "csv")
+    for _ in range(2):  # a second run replaces the first
+        jobs.write_reports(spark, again, str(tmp_path / "out"), sample.AS_OF, sample.HOME)
     for name, report in jobs.reports(tables, sample.AS_OF, sample.HOME).items():
         written = spark.read.parquet(str(tmp_path / "out" / name))
         assert compare.spark_rows(written) == compare.spark_rows(report()), name
+
+
+def test_reports_read_the_daily_rows_twice(spark, tables, tmp_path, monkeypatch):
+    for name, df in tables.items():
+        write_table(df, name, f"{tmp_path}/typed/{name}")
+    loaded = CampaignTables.load(spark, f"{tmp_path}/typed")
+    shared = loaded.stored(spark, f"{tmp_path}/shared")
+    for name, report in jobs.reports(shared, sample.AS_OF, sample.HOME).items():
+        plan = report()._jdf.queryExecution().optimizedPlan().toString()
+        assert "watch_time_mins" not in plan or "metric_id" not in plan
+        files = report().inputFiles()
+        assert not any("typed/campaign_daily_metrics" in f for f in files), name
+    reads = [df for df in (loaded.totals, loaded.latest_views)]
+    assert all(any("campaign_daily_metrics" in f for f in df.inputFiles()) for df in reads)
+
+
+def test_a_required_column_must_be_there(spark):
+    df = spark.createDataFrame([(1, 5, "x")], "campaign int, creator_id int, status string")
+    with pytest.raises(ValueError, match="campaigns has no column budget_usd, campaign_id"):
+        conform(df, "campaigns")
+
+
+@pytest.mark.parametrize("table, row", [("creators", sample.CREATORS[0]), ("campaigns", sample.CAMPAIGNS[0]), ("videos", sample.VIDEOS[0])])
+def test_repeated_keys_are_refused(spark, tmp_path, table, row):
+    rows = {"creators": sample.CREATORS, "campaigns": sample.CAMPAIGNS, "videos": sample.VIDEOS}[table]
+    t = sample.tables(spark, **{table: [*rows, row]})
+    with pytest.raises(jobs.RepeatedKeys, match=f"{table}.*= {row[0]} .2 rows"):
+        jobs.write_reports(spark, t, str(tmp_path / "out"), sample.AS_OF, sample.HOME)
+    for name, df in t.items():
+        df.write.parquet(f"{tmp_path}/raw/{name}")
+    with pytest.raises(jobs.RepeatedKeys, match=table):
+        jobs.ingest(spark, f"{tmp_path}/raw", f"{tmp_path}/typed")
+
+
+def test_reports_from_bucketed_tables(spark, tables, tmp_path):
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/raw/{name}")
+    spark.sql(f"CREATE DATABASE promo LOCATION '{tmp_path}/db'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        t = jobs.ingest(spark, f"{tmp_path}/raw", f"{tmp_path}/typed", database="promo", buckets=4)
+        facts = t.facts._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in facts
+        churn = plans.q06_churn_risk(t, sample.AS_OF)
+        plan = churn._jdf.queryExecution().executedPlan().toString()
+        # above the scan of the daily rows there is no exchange before their join
+        scan = next(i for i, line in enumerate(plan.splitlines()) if "promo.campaign_daily_metrics" in line)
+        lines = plan.splitlines()[:scan]
+        join = max(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "campaign_id" in line)
+        assert not any("Exchange" in line for line in lines[join:])
+        for name, report in jobs.reports(t, sample.AS_OF, sample.HOME).items():
+            wanted = jobs.reports(tables, sample.AS_OF, sample.HOME)[name]()
+            assert compare.spark_rows(report()) == compare.spark_rows(wanted), name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.sql("DROP DATABASE promo CASCADE")
