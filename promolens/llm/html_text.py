@@ -27,6 +27,8 @@ WINDOW, DENSE = 3, 80
 
 #: Elements whose content is never shown as text; it may hold anything up to the end tag.
 RAW = frozenset({"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "title"})
+#: Those that are not even a gap in the text around them.
+HIDDEN = frozenset({"script", "style", "noscript", "template"})
 #: Elements around the main text.
 CHROME = frozenset({"nav", "footer", "aside", "form", "dialog", "menu", "select", "button", "head", "label"})
 #: Words in class, id or role that say the same of any other element.
@@ -95,7 +97,7 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         if m["tag"] is None:
             continue
         tag = m["tag"].lower()
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in HIDDEN:
             end_line()
         elif tag == "br":
             parts.append(" ")
