@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from promolens.llm.common import chunks, fresh
 
@@ -239,18 +240,19 @@ def benchmark_matches(
     carried = [doc_id, *keep]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carried).schema)
     schema = f"{kept}, {MATCHES.format(item=benchmark.schema[item_id].dataType.simpleString())}"
+    item_type = to_arrow_type(benchmark.schema[item_id].dataType)
     rows = docs.select(*carried, text)
     out = None
     for i in range(blocks):
         some = benchmark.where(block == i).select(item_id, item_text).where(F.col(item_text).isNotNull())
         some = some.orderBy(item_id, item_text).collect()  # about BLOCK_CHARS characters
         shared = docs.sparkSession.sparkContext.broadcast(Items([r[0] for r in some], [r[1] for r in some], q, edits))
-        found = rows.mapInArrow(_finder(shared, carried), schema)
+        found = rows.mapInArrow(_finder(shared, carried, item_type), schema)
         out = found if out is None else out.unionAll(found)
     return out
 
 
-def _finder(shared, carried: list[str]):
+def _finder(shared, carried: list[str], item_type: pa.DataType):
     names = [*carried, "item_id", "start", "end", "edits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +267,7 @@ def _finder(shared, carried: list[str]):
                 at = pa.array([part.start + i for i in d])
                 own = [batch.column(i).take(at) for i in range(len(carried))]
                 yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array([items.ids[i] for i in j]), *(pa.array(x, pa.int64()) for x in (start, end, edits))],
+                    [*own, pa.array([items.ids[i] for i in j], item_type), *(pa.array(x, pa.int64()) for x in (start, end, edits))],
                     names=names,
                 )
 
