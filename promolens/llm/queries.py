@@ -15,7 +15,7 @@ from promolens.llm.html_text import html_text
 from promolens.llm.jaccard_join import jaccard_join
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
 from promolens.llm.quality import quality
-from promolens.llm.secrets import BASE_RULES, secret_scan
+from promolens.llm.secrets import BASE_RULES, MORE_RULES, secret_scan
 from promolens.llm.toxicity import toxicity
 from promolens.llm.url_filter import UNWANTED_WORDS, Rule, unwanted_hosts, url_filter
 
@@ -133,6 +133,35 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _op8_sql() -> str:
+    def found(nth: int, rule) -> str:
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        return f"""
+          SELECT doc_id, '{rule.kind}' AS kind, {nth} AS nth, {rule.min_chars} AS least,
+                 regexp_split_to_array(body, {pattern}) AS gaps, regexp_extract_all(body, {pattern}, 0) AS own,
+                 regexp_extract_all(body, {pattern}, {rule.group}) AS held
+          FROM docs WHERE regexp_matches(body, {pattern})"""
+
+    rules = BASE_RULES + MORE_RULES
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
+    span = "kind || ':' || begin_at || ':' || (begin_at + size)"
+    return f"""
+    WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+    found AS ({" UNION ALL ".join(found(i, r) for i, r in enumerate(rules))}),
+    every AS (SELECT *, unnest(range(1, len(own) + 1)) AS i FROM found),
+    spans AS (
+      SELECT doc_id, kind, nth, length(own[i]) AS size,
+             list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(own[1:i-1], lambda x: length(x))), 0) AS begin_at
+      FROM every WHERE length(held[i]) >= least)
+    SELECT doc_id, {counts},
+           sha256(coalesce(string_agg({span}, ',' ORDER BY begin_at, nth) FILTER (WHERE nth < {len(BASE_RULES)}), ''))
+             AS base_sha256,
+           coalesce(string_agg({span}, ',' ORDER BY begin_at, nth) FILTER (WHERE kind IS NOT NULL), '') AS spans
+    FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+    """
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -158,4 +187,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_url_filter": _op1_sql(), "op5_line_dedup": _op5_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": _op1_sql(),
+    "op5_line_dedup": _op5_sql(),
+    "op8_secrets": _op8_sql(),
+}
