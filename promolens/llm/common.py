@@ -5,7 +5,9 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared or "/tmp/promolens-checkpoints")
 
 
+def list_chunks(column: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """Runs of rows of a list column with about ``most`` values, one row at least.
+
+    Each is (values, the row of each value counted from the run's first, first row, row after the last).
+    """
+    offsets, values = np.asarray(column.offsets), np.asarray(column.values)
+    first, rows = 0, len(column)
+    while first < rows:
+        last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
+        last = min(max(last, first + 1), rows)
+        sizes = np.diff(offsets[first : last + 1])
+        yield values[offsets[first] : offsets[last]], np.repeat(np.arange(last - first), sizes), first, last
+        first = last
+
+
 def chunks(texts: Sequence[str], most: int = CHUNK_CHARS) -> Iterator[slice]:
     """Consecutive slices of the texts with about ``most`` characters each; a longer text is its own."""
     start = held = 0

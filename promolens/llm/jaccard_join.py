@@ -17,9 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import ensure_checkpoint_dir, fresh
+from promolens.llm.common import ensure_checkpoint_dir, fresh, list_chunks
 from promolens.llm.graph import components
-from promolens.llm.learning import flat_lists
 
 WORDS, SIMILARITY = 5, 0.8
 #: Chance to meet in a band that a pair of just the wanted similarity has at least; hashes at most.
@@ -98,22 +97,16 @@ def signed(docs: DataFrame, *, doc_id: str, text: str, n: int, bands: int, per_b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, row = flat_lists(batch.column(3))
-            count = np.bincount(row, minlength=batch.num_rows)
-            ends = np.cumsum(count)
+            column = batch.column(3)
+            count = np.diff(np.asarray(column.offsets))
             lists: list = [None] * batch.num_rows
-            first = 0
-            while first < batch.num_rows:
-                begin = ends[first] - count[first]
-                last = max(first + 1, int(np.searchsorted(ends, begin + CHUNK, side="right")))
-                part = slice(begin, ends[last - 1])
-                grams, of = ngrams(words[part], row[part] - first, last - first, n)
+            for words, row, first, last in list_chunks(column, CHUNK):
+                grams, of = ngrams(words, row, last - first, n)
                 filled, of = np.unique(of, return_inverse=True)
                 if len(filled):
                     found = signature_bands(grams, of, len(filled), bands, per_band)
                     for i, values in zip(filled.tolist(), found.view(np.int64)):
                         lists[first + i] = values
-                first = last
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(count, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
                 names=["id", "text_id", "node", "words", "bands"],

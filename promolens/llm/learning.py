@@ -62,14 +62,7 @@ def fit_in_shards(
 
     def one(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["order", "label"], kind="stable")
-        terms = [np.asarray(t, np.int64) for t in shard["terms"]]
+        terms = [np.asarray(t) for t in shard["terms"]]
         return fit(terms, shard["label"].to_numpy(np.float64))
 
     return rows.groupBy("shard").applyInPandas(one, schema)
-
-
-def flat_lists(column) -> tuple[np.ndarray, np.ndarray]:
-    """The values of an Arrow list column and the row that each is of."""
-    offsets = np.asarray(column.offsets)
-    values = np.asarray(column.values)[offsets[0] : offsets[-1]]
-    return values, np.repeat(np.arange(len(column)), np.diff(offsets))

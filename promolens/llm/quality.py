@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.learning import fit_in_shards, flat_lists, held_out, training_rows
+from promolens.llm.common import list_chunks
+from promolens.llm.learning import fit_in_shards, held_out, training_rows
 
 #: Places of the hash table; the last one is the constant.
 BUCKETS = 1 << 20
@@ -23,27 +24,27 @@ EPOCHS, ALPHA, BETA, L1, L2 = 6, 0.5, 1.0, 0.02, 0.01
 #: Scores from here on are predicted as label 1.
 THRESHOLD = 0.7
 #: Tokens that a task works on at a time.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 500_000
 
 _FIRST, _SECOND, _REPEAT = np.int64(-7046029254386353131), np.int64(-4417276706812531889), 12345
 
 
 def token_hashes(text: Column) -> Column:
-    """One hash for each word or run of punctuation, in order; none for NULL."""
+    """A 32-bit hash for each word or run of punctuation, in order; none for NULL."""
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"), F.lit(0))
-    return F.transform(tokens, lambda t: F.xxhash64(t))
+    return F.transform(tokens, lambda t: F.hash(t))
 
 
 def features(tokens: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, bucket, value) of all features; ``row`` is ascending and gives each token's row."""
+    tokens = tokens.astype(np.int64)
     with np.errstate(over="ignore"):
         a, b = tokens[:-1], tokens[1:]
         pair = a * _FIRST + b * _SECOND
         pair ^= (pair >> 31) & 0xFFFFFFFF
     pair = np.where(a == b, _REPEAT, pair)
     near = row[:-1] == row[1:]
-    single = tokens ^ ((tokens >> 33) & 0x7FFFFFFF)
-    bucket = np.concatenate([single, pair[near]]) % (BUCKETS - 1)
+    bucket = np.concatenate([tokens, pair[near]]) % (BUCKETS - 1)
     of = np.concatenate([row, row[:-1][near]])
     keys, counts = np.unique(of * BUCKETS + bucket, return_counts=True)
     of, bucket = keys // BUCKETS, keys % BUCKETS
@@ -62,7 +63,7 @@ def ftrl(documents: list[np.ndarray], labels: np.ndarray) -> pd.DataFrame:
     sparse = []
     for tokens in documents:
         _, bucket, value = features(tokens, np.zeros(len(tokens), np.int64), 1)
-        sparse.append((np.append(bucket, BUCKETS - 1), np.append(value, 1.0)))
+        sparse.append((np.append(bucket, BUCKETS - 1).astype(np.int32), np.append(value, 1.0).astype(np.float32)))
 
     def weights(i):
         sign = np.sign(z[i])
@@ -102,10 +103,9 @@ def score_quality(docs: DataFrame, weights: np.ndarray, *, doc_id: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for batch in batches:
-            tokens, row = flat_lists(batch.column(len(carried)))
             dot = np.zeros(batch.num_rows)
-            for start, end, first, last in _cuts(row, batch.num_rows):
-                of, bucket, value = features(tokens[start:end], row[start:end] - first, last - first)
+            for tokens, row, first, last in list_chunks(batch.column(len(carried)), CHUNK_TOKENS):
+                of, bucket, value = features(tokens, row, last - first)
                 dot[first:last] = np.bincount(of, value * w[bucket], last - first)
             score = pa.array(sigmoid(dot + w[BUCKETS - 1]))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(carried)], score], names=[*carried, "score"])
@@ -114,16 +114,6 @@ def score_quality(docs: DataFrame, weights: np.ndarray, *, doc_id: str = "doc_id
     return hashed.mapInArrow(run, f"{schema}, score double")
 
 
-def _cuts(row: np.ndarray, rows: int) -> Iterator[tuple[int, int, int, int]]:
-    """(first token, end, first row, end) of runs of whole rows with about ``CHUNK_TOKENS`` tokens."""
-    ends = np.searchsorted(row, np.arange(rows), side="right")
-    first = start = 0
-    while first < rows:
-        last = max(first + 1, int(np.searchsorted(ends, start + CHUNK_TOKENS, side="right")))
-        yield start, int(ends[last - 1]), first, last
-        first, start = last, int(ends[last - 1])
-
-
 def quality(
     docs: DataFrame,
     labels: DataFrame,

@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.learning import fit_in_shards, flat_lists, held_out, training_rows
+from promolens.llm.common import list_chunks
+from promolens.llm.learning import fit_in_shards, held_out, training_rows
 
 #: Length of a term's vector; lengths of word beginnings.
 FACTORS, PREFIXES = 4, (4, 5, 6)
@@ -30,6 +31,8 @@ RATE, DECAY, START = 0.005, 1e-4, 0.01
 MIN_TEXTS, MAX_TERMS = 3, 200_000
 #: Scores from here on are predicted as label 1.
 THRESHOLD = 0.3
+#: Terms that a task works on at a time.
+CHUNK_TERMS = 1_000_000
 
 _V = [f"v{i}" for i in range(FACTORS)]
 
@@ -144,9 +147,10 @@ def score_toxicity(docs: DataFrame, machine: Machine, *, doc_id: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, row = flat_lists(batch.column(1))
-            score = pa.array(shared.value.scores(terms, row, batch.num_rows), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), score], names=[doc_id, "score"])
+            scores = np.empty(batch.num_rows)
+            for terms, row, first, last in list_chunks(batch.column(1), CHUNK_TERMS):
+                scores[first:last] = shared.value.scores(terms, row, last - first)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=[doc_id, "score"])
 
     hashed = docs.select(doc_id, term_hashes(F.col(text)).alias("_terms"))
     return hashed.mapInArrow(run, f"`{doc_id}` {id_type}, score double")
