@@ -127,11 +127,26 @@ def candidates(items: Items, codes: np.ndarray, of: np.ndarray) -> tuple[np.ndar
     lump = np.bincount(mixed, minlength=slots)
     both = np.maximum(lump[mixed] + lump[(mixed + 1) % slots], lump[mixed] + lump[(mixed - 1) % slots])
     likely = both >= items.bound[item]
-    doc, item, band = doc[likely], item[likely], band[likely]
-    keys = np.concatenate([np.stack([doc, item, band], 1), np.stack([doc, item, band - 1], 1)])
-    keys, counts = np.unique(keys, axis=0, return_counts=True) if len(keys) else (keys, np.empty(0))
-    keys = keys[counts >= items.bound[keys[:, 1]]]
-    return keys[:, 0], keys[:, 1], keys[:, 2]
+    doc, item, band, place = doc[likely], item[likely], band[likely], place[likely]
+    if not len(doc):
+        return doc, item, band
+    low = int(band.min()) - 1
+    span = int(band.max()) - low + 1
+    key = (doc * len(items.size) + item) * span + band - low
+    keys, counts = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+    bound = items.bound[keys // span % len(items.size)]
+    keys, bound = keys[counts >= bound], bound[counts >= bound]
+    if not len(keys):
+        return keys, keys, keys
+    # where a text repeats itself a q-gram of the item is met many times, and counts once
+    met = []
+    for shift in (0, 1):
+        nth = np.minimum(np.searchsorted(keys, key - shift), len(keys) - 1)
+        in_key = keys[nth] == key - shift
+        met.append(nth[in_key] * (int(items.size.max()) + 1) + place[in_key])
+    each = np.unique(np.concatenate(met)) // (int(items.size.max()) + 1)
+    keys = keys[np.bincount(each, minlength=len(keys)) >= bound]
+    return keys // span // len(items.size), keys // span % len(items.size), keys % span + low
 
 
 def align(item: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
