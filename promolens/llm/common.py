@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: One round of work inside a Python task covers about so many characters, whatever the batch holds.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
+#: Places that the rows of one key are dealt to.
+SALTS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +39,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def of_the_same_row(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """The shared folder that the session names; an own one only where none is set, as in tests."""
     if spark.sparkContext.getCheckpointDir() is None:
@@ -63,6 +61,17 @@ def list_chunks(column: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.nd
         first = last
 
 
+def salted_join(many: DataFrame, one: DataFrame, keys: Sequence[str], spread: Column, salts: int = SALTS) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has a row for each key at most and is the smaller.
+
+    The rows of a key are dealt to ``salts`` places by ``spread``, a hash of the row, and ``one`` is
+    repeated for these. Both sides are shuffled for that, so adaptive execution may split further.
+    """
+    every = F.explode(F.array(*(F.lit(i) for i in range(salts))))
+    salted = many.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+    return salted.join(one.withColumn("_salt", every), [*keys, "_salt"]).drop("_salt")
+
+
 def chunks(texts: Sequence[str], most: int = CHUNK_CHARS) -> Iterator[slice]:
     """Consecutive slices of the texts with about ``most`` characters each; a longer text is its own."""
     start = held = 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import ascii_lower, fresh
+from promolens.llm.common import ascii_lower, fresh, salted_join
 
 #: Keys of at least so many code points, held by at least so many documents, are dropped.
 MIN_CHARS, MIN_DOCUMENTS = 40, 5
@@ -55,7 +55,7 @@ def line_dedup(
         .select("h1", "h2", "holder")
     )
     dropped = (
-        long.join(shared, ["h1", "h2"])
+        salted_join(long, shared, ["h1", "h2"], F.col("text_id"))
         .where(~F.col("id").eqNullSafe(F.col("holder")))
         .groupBy("id", "text_id")
         .agg(F.collect_set("pos").alias("out"))
