@@ -13,7 +13,7 @@ MIN_CHARS, MIN_DOCUMENTS = 40, 5
 
 def line_key(line: Column) -> Column:
     """The line without white space (space, tab to carriage return) at its ends, A-Z lower-cased."""
-    return ascii_lower(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", ""))
+    return ascii_lower(F.btrim(line, F.lit(" \t\n\v\f\r")))
 
 
 def line_dedup(
