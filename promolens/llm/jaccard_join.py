@@ -24,9 +24,9 @@ WORDS, SIMILARITY = 5, 0.8
 #: Chance to meet in a band that a pair of just the wanted similarity has at least; hashes at most.
 RECALL, MOST_HASHES = 0.999, 96
 #: Texts and words in one side of a block, about.
-BLOCK_TEXTS, BLOCK_WORDS = 500, 500_000
+BLOCK_TEXTS, BLOCK_WORDS = 500, 250_000
 #: N-grams that a task works on at a time, and cells of a matrix when texts are compared.
-CHUNK, CELLS = 1_000_000, 4_000_000
+CHUNK, CELLS = 500_000, 2_000_000
 
 
 def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -42,7 +42,7 @@ def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, most: int
 def word_hashes(text: Column) -> Column:
     """The hashes of a text's words in order: runs of letters and digits, lower-cased; none for NULL."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
+    return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -270,8 +270,8 @@ def _connected(
     docs: DataFrame, rows: DataFrame, texts: DataFrame, *, doc_id: str, text: str, similarity: float, n: int
 ) -> tuple[DataFrame, DataFrame]:
     """(node, root) of the linked texts and (node, documents), the copies of the texts each is linked with."""
-    met = rows.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
-    buckets = met.select("node", F.explode("bands").alias("bucket"))
+    banded = rows.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
+    buckets = banded.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
     candidates = components(buckets.join(shared, "bucket").select(F.col("node").alias("a"), F.col("least").alias("b")))
 
