@@ -107,7 +107,6 @@ class Cascade:
     @classmethod
     def build(cls, listed: DataFrame, universe: DataFrame) -> Cascade | None:
         """Both have a string column ``key``; None if the cascade would pass ``MOST_WORDS``."""
-        # a listed key that no url asks for may not cost anything, but is a member all the same
         right = listed.select("key").where(F.col("key").isNotNull()).distinct().cache()
         wrong = universe.select("key").distinct().join(right, "key", "left_anti").cache()
         levels: list[tuple[int, list[int]]] = []
@@ -176,6 +175,7 @@ def url_filter(
     """
     spark = pages.sparkSession
     names = [fresh(pages, n) for n in ("_rule_keys", "_host_keys")]
+    mark = fresh(pages, "_on_list")
     judged = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
 
     keys = spark.createDataFrame([(r.action, r.key) for r in rules], "action string, key string")
@@ -187,12 +187,9 @@ def url_filter(
     judged = judged.withColumns({names[0]: of_rules, names[1]: of_hosts})
     asked = [judged.select(F.explode(n).alias("key")).distinct() for n in names]
 
-    blocked = keys.where("action = 'block'").select("key")
-    members = []
-    for listed, universe in ((keys, asked[0]), (blocked, asked[0]), (hosts, asked[1])):
-        cascade = Cascade.build(listed, universe)
-        members.append((cascade, listed, universe))
-    is_rule, is_block, is_host = (c for c, _, _ in members)
+    is_rule = Cascade.build(keys, asked[0])
+    is_block = Cascade.build(keys.where("action = 'block'"), asked[0])
+    is_host = Cascade.build(hosts, asked[1])
     if is_rule is None or is_block is None:
         raise ValueError(f"the rules need more than {MOST_WORDS} words of Bloom filters")
 
@@ -205,16 +202,16 @@ def url_filter(
             .join(hosts.distinct(), "key", "left_semi")
             .select("host")
             .distinct()
-            .withColumn(fresh(pages, "_on_list"), F.lit(True))
+            .withColumn(mark, F.lit(True))
         )
         judged = judged.join(hit, "host", "left")
-        on_list = F.coalesce(F.col(fresh(pages, "_on_list")), F.lit(False))
+        on_list = F.coalesce(mark, F.lit(False))
     by_rule = F.when(is_block.contains(F.col("rule")), "block").otherwise("allow")
     judged = judged.withColumn("rule", rule).withColumn(
         "verdict",
         F.when(F.col("rule").isNotNull(), by_rule).otherwise(F.when(on_list, "block").otherwise("allow")),
     )
-    return judged.drop(*names, fresh(pages, "_on_list"))
+    return judged.drop(*names, mark)
 
 
 #: Words in host names of sites that are not wanted in a corpus.
