@@ -25,7 +25,7 @@ PARTITION_CHARS, MOST_PARTITIONS, RANGES = 4_000_000, 100_000, 4
 
 def terms(text: Column) -> Column:
     """The hashes of a text's word pairs in order, and of its last word; none for a text without words."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
     return _pairs(F.transform(words, lambda w: F.xxhash64(w)))
 
 
@@ -121,11 +121,11 @@ def in_ranges(docs: DataFrame, *, doc_id: str, text: str) -> DataFrame:
     size = rows.agg(F.sum(F.length("body")).alias("chars"), F.count("id").alias("n"), F.max("id").alias("last")).first()
     partitions = min(MOST_PARTITIONS, max(1, math.ceil((size["chars"] or 0) / PARTITION_CHARS)))
     wanted = partitions * RANGES
-    every = max(1, (size["n"] or 0) // (wanted * 16))
+    every = max(1, (size["n"] or 0) // (wanted * 4))
     drawn = (
         rows.where(F.col("id").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(every)) == 0)).select("id").distinct()
     )
-    ids = sorted(r["id"] for r in drawn.collect())  # about 16 for each range
+    ids = sorted(r["id"] for r in drawn.collect())  # about 4 for each range
     step = max(1, len(ids) // wanted)
     limits = ids[step - 1 :: step]
     limits = [x for x in limits if x != size["last"]]
