@@ -134,11 +134,9 @@ class StarTables:
         )
         sums = ("impressions", "quantity", "subscribers", "spend")
         types = self._read("part").selectExpr("p_partkey", "p_type AS category")
-        # One row per supplier and part, then one per supplier and type, is left before each join.
+        # One row per supplier and type is left before the suppliers are joined.
         per_supplier = (
-            items.groupBy("p_partkey", "l_suppkey")
-            .agg(*(F.sum(c).alias(c) for c in sums))
-            .join(types, "p_partkey")
+            items.join(types, "p_partkey")
             .groupBy("l_suppkey", "category")
             .agg(*(F.sum(c).alias(c) for c in sums))
         )
