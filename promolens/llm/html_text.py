@@ -3,9 +3,9 @@
 Markup is stripped so that every block of text becomes one line. The lengths of the lines, summed
 over a sliding window, rise steeply where the main text begins (surge) and fall to little where it
 ends (dive); the text between is kept. What markup itself names as menu, header, footer, sidebar,
-notice, advert, form, script, style or comment counts as no text. Where markup names the article,
-its first and last line are the bounds that surge and dive are moved to, so that a short first or
-last line stays in.
+notice, advert, form, script, style or comment counts as no text. Surge and dive are located on every
+page. An element that names the article corrects them where it holds at least half of the text they
+enclose: they move to its first and last line, so that a short one stays in and its neighbours do not.
 """
 
 from __future__ import annotations
@@ -64,13 +64,14 @@ def _marks(attrs: str) -> set[str]:
     return {w for m in NAMED.finditer(attrs) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower())}
 
 
-def lines_of(page: str) -> list[tuple[str, bool]]:
-    """The page's lines of text in order, and whether each is inside an element that names the article."""
-    lines: list[tuple[str, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int]]:
+    """The page's lines of text in order, each with the number, from 1, of the outermost element around
+    it that names the article; 0 without one."""
+    lines: list[tuple[str, int]] = []
     parts: list[str] = []
     open_: list[tuple[str, bool, bool]] = []  # tag, chrome, article
     depth: Counter[str] = Counter()  # how many of a tag are open
-    chrome = article = 0
+    chrome = article = articles = 0
     at, size = 0, len(page)
 
     def close() -> str:
@@ -85,7 +86,7 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            lines.append((text, article > 0))
+            lines.append((text, articles if article else 0))
 
     while at < size:
         m = TOKEN.match(page, at) or LOOSE.match(page, at)
@@ -128,17 +129,18 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
                 close()
         open_.append((tag, is_chrome, is_article))
         depth[tag] += 1
+        articles += is_article and not article
         chrome, article = chrome + is_chrome, article + is_article
     end_line()
     return lines
 
 
-def main_range(lengths: np.ndarray, named: np.ndarray, window: int = WINDOW, dense: int = DENSE) -> tuple[int, int]:
-    """First line and the line after the last one of the main text; (0, 0) if there is none."""
+def dense_range(lengths: np.ndarray, weights: np.ndarray, window: int = WINDOW, dense: int = DENSE) -> tuple[int, int]:
+    """First line and the line after the last one between surge and dive; all lines if no window is dense.
+
+    Of several runs of dense windows that of the greatest weight counts.
+    """
     n = len(lengths)
-    if named.any():
-        # surge and dive move to the bounds that the markup gives
-        return int(np.argmax(named)), n - int(np.argmax(named[::-1]))
     if not n:
         return 0, 0
     total = np.concatenate([[0], np.cumsum(lengths)])
@@ -151,20 +153,29 @@ def main_range(lengths: np.ndarray, named: np.ndarray, window: int = WINDOW, den
     steps = np.diff(np.concatenate([[0], thick.astype(np.int8), [0]]))
     surges, dives = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
     stops = np.minimum(dives + window - 1, n)
-    best = int(np.argmax(total[stops] - total[surges]))
-    first, last = int(surges[best]), int(stops[best])
-    return first, last
+    heavy = np.concatenate([[0], np.cumsum(weights)])
+    best = int(np.argmax(heavy[stops] - heavy[surges]))
+    return int(surges[best]), int(stops[best])
+
+
+def main_lines(lengths: np.ndarray, articles: np.ndarray) -> np.ndarray:
+    """For each line whether it is main text, from its length and the article it is in (0: none)."""
+    named = articles > 0
+    keep = np.zeros(len(lengths), np.bool_)
+    # text of an article counts twice between runs, so that a long text elsewhere does not outdo it
+    first, last = dense_range(lengths, lengths * (1 + named))
+    keep[first:last] = True
+    if 2 * lengths[keep & named].sum() >= lengths[keep].sum():
+        # the bounds move to those of the articles between them; of what is between two articles nothing stays
+        return named & np.isin(articles, articles[keep])
+    return keep
 
 
 def main_text(page: str) -> str:
     lines = lines_of(page)
     lengths = np.fromiter((len(t) for t, _ in lines), np.int64, len(lines))
-    named = np.fromiter((a for _, a in lines), np.bool_, len(lines))
-    first, last = main_range(lengths, named)
-    keep = range(first, last)
-    if named.any():  # between two articles only what is in one
-        keep = [i for i in keep if named[i]]
-    return "\n".join(lines[i][0] for i in keep)
+    articles = np.fromiter((a for _, a in lines), np.int64, len(lines))
+    return "\n".join(t for (t, _), k in zip(lines, main_lines(lengths, articles)) if k)
 
 
 def html_text(

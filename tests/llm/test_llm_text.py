@@ -222,6 +222,15 @@ def test_surge_and_dive_without_article_markup():
     assert got.count("go") <= 4
 
 
+def test_surge_and_dive_beside_article_markup():
+    body = [f"{'sentence of the text ' * 8}{i}" for i in range(5)]
+    text, links = "".join(f"<p>{p}</p>" for p in body), "<div><a href=x>go</a></div>" * 5
+    # a teaser marked as article is not the text, nor is one beside the article
+    assert main_text(f"<article><p>Teaser</p></article>{links}<div>{text}</div>").endswith("\n".join(body))
+    assert main_text(f"<article>{text}</article>{links}<article><p>Teaser</p></article>") == "\n".join(body)
+    assert main_text(f"<p>x</p><article><h1>T</h1>{text}<p>s</p><p>t</p><p>u</p></article><p>y</p>") == "\n".join(["T", *body, "s", "t", "u"])
+
+
 def test_html_text_on_rows(spark):
     pages = list(PAGES) + [None, "<p>x", "<p>x"]
     df = spark.createDataFrame([(i, p, "u") for i, p in enumerate(pages)], "page_id int, html string, text string")
