@@ -38,8 +38,9 @@ CHROME_WORDS = frozenset(
     newsletter notice notices notification popup promo promotion related replies reply respond share
     sharing sidebar social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
+#: What names the article: elements and roles, and one itemprop.
 ARTICLE = frozenset({"article", "main"})
-ARTICLE_WORDS = frozenset({"article", "main"})
+ARTICLE_BODY = "articlebody"
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -56,12 +57,23 @@ TOKEN = re.compile(
 )
 #: The same where a quote in a tag is never closed.
 LOOSE = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)(?:>|\Z)|<(?P<text>)[^>]*(?:>|\Z)")
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+NAMED = re.compile(
+    r"""(?<![^\s"'/])(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|"[^"]*"|'[^']*'""", re.IGNORECASE
+)
 WORDS = re.compile(r"[a-z]+")
 
 
-def _marks(attrs: str) -> set[str]:
-    return {w for m in NAMED.finditer(attrs) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower())}
+def _marks(attrs: str) -> tuple[set[str], bool]:
+    """The words in class, id and role, and whether role or itemprop name the article."""
+    words: set[str] = set()
+    names = False
+    for m in NAMED.finditer(attrs):
+        kind, value = (m[1] or "").lower(), (m[2] or m[3] or m[4] or "").lower()
+        if kind in ("class", "id", "role"):
+            words.update(WORDS.findall(value))
+        if kind in ("role", "itemprop"):
+            names |= any(v in ARTICLE if kind == "role" else v == ARTICLE_BODY for v in value.split())
+    return words, names
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
@@ -117,11 +129,11 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if tag == "body":  # a head that was never closed ends here
             while open_:
                 close()
-        marks = _marks(attrs) if "=" in attrs else set()
+        marks, names = _marks(attrs) if "=" in attrs else (set(), False)
         if article:
             marks.discard("header")  # the article's own
         says_chrome = tag not in ("html", "body", "main") and bool(marks & CHROME_WORDS)
-        is_article = not says_chrome and (tag in ARTICLE or bool(marks & ARTICLE_WORDS))
+        is_article = not says_chrome and (tag in ARTICLE or names)
         is_chrome = says_chrome or tag in CHROME or (tag == "header" and not article)
         if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):
             # these close the one before them where its end tag was left out

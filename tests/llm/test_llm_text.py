@@ -231,6 +231,23 @@ def test_surge_and_dive_beside_article_markup():
     assert main_text(f"<p>x</p><article><h1>T</h1>{text}<p>s</p><p>t</p><p>u</p></article><p>y</p>") == "\n".join(["T", *body, "s", "t", "u"])
 
 
+def test_words_in_class_or_id_name_no_article():
+    body = [f"{'sentence of the text ' * 8}{i}" for i in range(5)]
+    text = "".join(f"<p>{p}</p>" for p in body)
+    for before, kept in (
+        ('<h1 class="article-title">T</h1>', "T"),
+        ('<p class="article-meta">by me</p>', "by me"),
+        ('<div id="main-image"><p>caption</p></div>', "caption"),
+        ('<p data-role="main" title="role=main">x</p>', "x"),
+    ):
+        assert main_text(f"{before}<div class=content>{text}</div>") == "\n".join([kept, *body])
+    halves = f"<div class=article-lead>{text}</div><div class=content>{text}</div>"
+    assert main_text(halves) == "\n".join(body + body)
+    for mark in ("role=main", 'role="article"', "itemprop='articleBody text'"):
+        got = main_text(f"<p>x</p><div {mark}>{text}<p>s</p><p>t</p><p>u</p></div><p>y</p>")
+        assert got == "\n".join([*body, "s", "t", "u"])
+
+
 def test_html_text_on_rows(spark):
     pages = list(PAGES) + [None, "<p>x", "<p>x"]
     df = spark.createDataFrame([(i, p, "u") for i, p in enumerate(pages)], "page_id int, html string, text string")
