@@ -14,6 +14,8 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +33,27 @@ RAW = frozenset({"script", "style", "noscript", "template", "textarea", "iframe"
 HIDDEN = frozenset({"script", "style", "noscript", "template"})
 #: Elements around the main text.
 CHROME = frozenset({"nav", "footer", "aside", "form", "dialog", "menu", "select", "button", "head", "label"})
-#: Words in class, id or role that say the same of any other element.
+#: Those that may be around all of a page.
+DOUBTFUL = frozenset({"form"})
+#: Words in class, id or role that say the same of any other element, if its whole name is made of them and of
+#: words for pieces and places: "site-footer" and "ad-box", but not "has-sidebar" or "comments-open".
 CHROME_WORDS = frozenset(
     """ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
     consent cookie cookies disclaimer footer header masthead menu modal nav navbar navigation
     newsletter notice notices notification popup promo promotion related replies reply respond share
     sharing sidebar social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
-#: What names the article: elements and roles, and one itemprop.
+#: What names the article: elements, which are roles as well, and one itemprop.
+PIECES = frozenset(
+    """area bar block bottom box button buttons center col column container cta desktop form global google group
+    holder icons inner item items law left link links list main mobile outer page panel post posts primary right
+    row secondary section signup site slot strip tab thread top unit wrap wrapper x""".split()
+)
+#: Those whose elements hold much text of their own, which is not the page's.
+OTHERS = frozenset(
+    """comment comments consent cookie cookies disclaimer newsletter notice notices related replies reply
+    respond""".split()
+)
 ARTICLE = frozenset({"article", "main"})
 ARTICLE_BODY = "articlebody"
 VOID = frozenset(
@@ -63,49 +78,71 @@ NAMED = re.compile(
 WORDS = re.compile(r"[a-z]+")
 
 
-def _marks(attrs: str) -> tuple[set[str], bool]:
-    """The words in class, id and role, and whether role or itemprop name the article."""
+def _marks(attrs: str) -> tuple[set[str], str]:
+    """The words of class, id and role that name chrome, and "main" or "article" if role or itemprop name the article."""
     words: set[str] = set()
-    names = False
+    names = ""
     for m in NAMED.finditer(attrs):
-        kind, value = (m[1] or "").lower(), (m[2] or m[3] or m[4] or "").lower()
+        kind, values = (m[1] or "").lower(), (m[2] or m[3] or m[4] or "").lower().split()
         if kind in ("class", "id", "role"):
-            words.update(WORDS.findall(value))
-        if kind in ("role", "itemprop"):
-            names |= any(v in ARTICLE if kind == "role" else v == ARTICLE_BODY for v in value.split())
+            for v in values:
+                parts = set(WORDS.findall(v))
+                if parts & CHROME_WORDS and parts <= CHROME_WORDS | PIECES:
+                    words |= parts & CHROME_WORDS
+        if kind == "role" and "main" in values or kind == "itemprop" and ARTICLE_BODY in values:
+            names = "main"
+        elif kind == "role" and "article" in values:
+            names = names or "article"
     return words, names
 
 
-def lines_of(page: str) -> list[tuple[str, int]]:
-    """The page's lines of text in order, each with the number, from 1, of the outermost element around
-    it that names the article; 0 without one."""
-    lines: list[tuple[str, int]] = []
-    parts: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []  # tag, chrome, article
+@dataclass(slots=True)
+class Chrome:
+    """An element around the main text, or so its markup says."""
+
+    parent: int  # the one around it, -1: none
+    doubtful: bool  # it and those around it may hold the main text after all
+    others: bool  # it, or one around it, has much text that is not the page's
+    body: bool = False  # a main element or an article's body begins in it
+
+
+class Line(NamedTuple):
+    text: str
+    article: int  # the outermost element around it that names the article, from 1; 0: none
+    chrome: int  # the innermost chrome around it, -1: none
+
+
+def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
+    """The page's lines of text in order, with those of doubtful chrome, and its elements of chrome."""
+    lines: list[Line] = []
+    parts: dict[int, list[str]] = {}  # of the line, for each chrome
+    open_: list[tuple[str, int, bool]] = []  # tag, chrome around it, article
     depth: Counter[str] = Counter()  # how many of a tag are open
-    chrome = article = articles = 0
+    found: list[Chrome] = []
+    chrome, article, articles = -1, 0, 0
     at, size = 0, len(page)
 
     def close() -> str:
         nonlocal chrome, article
-        tag, c, a = open_.pop()
+        tag, chrome, a = open_.pop()
         depth[tag] -= 1
-        chrome, article = chrome - c, article - a
+        article -= a
         return tag
 
     def end_line() -> None:
         # references are decoded per line: "&amp;" next to "lt;" in the next text stays two texts
-        text = " ".join("".join(parts).split())
+        for c, texts in parts.items():
+            text = " ".join("".join(texts).split())
+            if text:
+                lines.append(Line(text, articles if article else 0, c))
         parts.clear()
-        if text:
-            lines.append((text, articles if article else 0))
 
     while at < size:
         m = TOKEN.match(page, at) or LOOSE.match(page, at)
         at = m.end()
         if m["text"] is not None:
-            if not chrome:
-                parts.append(html.unescape(m["text"]))
+            if chrome < 0 or found[chrome].doubtful:
+                parts.setdefault(chrome, []).append(html.unescape(m["text"]))
             continue
         if m["tag"] is None:
             continue
@@ -113,7 +150,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if tag not in INLINE and tag not in HIDDEN:
             end_line()
         elif tag == "br":
-            parts.append(" ")
+            parts.setdefault(chrome, []).append(" ")
         if m["end"]:
             if depth[tag]:
                 while close() != tag:
@@ -123,28 +160,78 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if tag in VOID or attrs.endswith("/"):
             continue
         if tag in RAW:
-            found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
-            at = found.end() if found else size
+            found_end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
+            at = found_end.end() if found_end else size
             continue
         if tag == "body":  # a head that was never closed ends here
             while open_:
                 close()
-        marks, names = _marks(attrs) if "=" in attrs else (set(), False)
+        marks, names = _marks(attrs) if "=" in attrs else (set(), "")
         if article:
             marks.discard("header")  # the article's own
-        says_chrome = tag not in ("html", "body", "main") and bool(marks & CHROME_WORDS)
-        is_article = not says_chrome and (tag in ARTICLE or names)
-        is_chrome = says_chrome or tag in CHROME or (tag == "header" and not article)
+        is_article = tag in ARTICLE or bool(names)
+        # an article inside an article may be a comment on it
+        exempt = tag in ("html", "body", "main") or is_article and not article
+        says_chrome = bool(marks) and not exempt
+        is_article = is_article and not says_chrome
+        certain = tag in CHROME - DOUBTFUL or (tag == "header" and not article)
         if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):
             # these close the one before them where its end tag was left out
             if open_ and open_[-1][0] == tag:
                 close()
-        open_.append((tag, is_chrome, is_article))
+        open_.append((tag, chrome, is_article))
         depth[tag] += 1
+        if certain or says_chrome or tag in DOUBTFUL:
+            around = found[chrome] if chrome >= 0 else Chrome(-1, True, False)
+            others = around.others or bool(marks & OTHERS)
+            found.append(Chrome(chrome, around.doubtful and not certain, others))
+            chrome = len(found) - 1
+        elif chrome >= 0 and is_article and "main" in (tag, names):
+            found[chrome].body = True
         articles += is_article and not article
-        chrome, article = chrome + is_chrome, article + is_article
+        article += is_article
     end_line()
-    return lines
+    return lines, found
+
+
+def shown(lines: Sequence[Line], found: Sequence[Chrome], window: int = WINDOW, dense: int = DENSE) -> list[set[int]]:
+    """The chrome whose lines count as text: what holds the article, and, if there is such, also what has more
+    dense text than all else."""
+    kept = {-1}
+
+    def keep(c: int, into: set[int]) -> None:
+        while c not in into:
+            into.add(c)
+            c = found[c].parent
+
+    size: Counter[int] = Counter()  # characters of the lines right in each chrome
+    named: Counter[tuple[int, int]] = Counter()  # and of those of each article in it
+    for line in lines:
+        size[line.chrome] += len(line.text)
+        if line.article:
+            named[line.chrome, line.article] += len(line.text)
+    if len(size.keys() | kept) == 1:
+        return [kept]
+    for c, x in enumerate(found):
+        if x.body and x.doubtful:
+            keep(c, kept)
+    seen = {a for c, a in named if c in kept}
+    if not any(n >= dense for (c, _), n in named.items() if c in kept):
+        hidden = Counter(c for (c, a), n in named.items() if n >= dense and a not in seen)
+        for c, n in hidden.items():
+            if n == 1 and not found[c].others:  # several are a list of articles
+                keep(c, kept)
+    if any(c in kept for c, _ in named):
+        return [kept]
+    rest = sum(n for c, n in size.items() if c in kept)
+    more = set(kept)
+    for c, n in size.items():
+        if c not in kept and n > rest and not found[c].others:
+            lengths = [len(x.text) for x in lines if x.chrome == c]
+            if max(sum(lengths[i : i + window]) for i in range(len(lengths))) >= dense:
+                keep(c, more)
+                rest = n
+    return [kept, more] if len(more) > len(kept) else [kept]
 
 
 def dense_range(lengths: np.ndarray, weights: np.ndarray, window: int = WINDOW, dense: int = DENSE) -> tuple[int, int]:
@@ -184,10 +271,14 @@ def main_lines(lengths: np.ndarray, articles: np.ndarray) -> np.ndarray:
 
 
 def main_text(page: str) -> str:
-    lines = lines_of(page)
-    lengths = np.fromiter((len(t) for t, _ in lines), np.int64, len(lines))
-    articles = np.fromiter((a for _, a in lines), np.int64, len(lines))
-    return "\n".join(t for (t, _), k in zip(lines, main_lines(lengths, articles)) if k)
+    lines, found = lines_of(page)
+    keep = np.zeros(len(lines), np.bool_)
+    for chrome in shown(lines, found):
+        at = [i for i, x in enumerate(lines) if x.chrome in chrome]
+        lengths = np.fromiter((len(lines[i].text) for i in at), np.int64, len(at))
+        articles = np.fromiter((lines[i].article for i in at), np.int64, len(at))
+        keep[np.array(at, np.int64)[main_lines(lengths, articles)]] = True
+    return "\n".join(x.text for x, k in zip(lines, keep) if k)
 
 
 def html_text(

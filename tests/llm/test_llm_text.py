@@ -248,6 +248,29 @@ def test_words_in_class_or_id_name_no_article():
         assert got == "\n".join([*body, "s", "t", "u"])
 
 
+def test_chrome_words_and_what_holds_the_text():
+    body = [f"{'sentence of the text ' * 8}{i}" for i in range(5)]
+    text, whole = "".join(f"<p>{p}</p>" for p in body), "\n".join(body)
+    # a word in a name is not the name
+    for around in ('div id="page" class="layout has-sidebar"', 'div class="content with-header"', 'section class="no-widgets"'):
+        assert main_text(f"<{around}>{text}</{around.split()[0]}>") == whole
+    assert main_text(f'<article class="post comments-open comments">{text}</article>') == whole
+    # what holds the article or the dense block is no chrome, whatever it is called; the chrome inside it is
+    inner = '<div class="menu">m</div><div class="site-footer">f</div>'
+    for around in ("div class=sidebar", "form", "div class=header"):
+        for marked in (text, f"<main>{text}</main>", f"<article>{text}</article>"):
+            assert main_text(f"<{around}>{inner}{marked}</{around.split()[0]}>") == whole
+    # names of chrome still count, also where much text is in it
+    for name in ("comments", "comment-list", "cookie-notice", "post-comments related"):
+        assert main_text(f"<p>short</p><div class='{name}'>{text}</div>") == "short"
+        assert main_text(f"<article><p>short</p></article><div class='{name}'><article>{text}</article></div>") == "short"
+        assert main_text(f"<p>short</p><div class='{name}'><div role=article>{text}</div></div>") == "short"
+    assert main_text(f"<article><p>short</p><form>{text}</form></article>") == "short"
+    for name in ("sidebar", "site-footer", "ad-box", "main-nav", "share-buttons"):
+        assert main_text(f"{text}<div class='{name}'>x</div>") == whole
+    assert main_text(f"<div>{text}</div><p>a <span class=ad>x</span> b</p>").endswith("\na b")
+
+
 def test_html_text_on_rows(spark):
     pages = list(PAGES) + [None, "<p>x", "<p>x"]
     df = spark.createDataFrame([(i, p, "u") for i, p in enumerate(pages)], "page_id int, html string, text string")
