@@ -2,8 +2,9 @@
 
 Markup is stripped so that every block of text becomes one line. The lengths of the lines, summed
 over a sliding window, rise steeply where the main text begins (surge) and fall to little where it
-ends (dive); the text between is kept. What markup itself names as menu, header, footer, sidebar,
-notice, advert, form, script, style or comment counts as no text. Surge and dive are located on every
+ends (dive); the text from the first surge to the last dive is kept, without the links of a stretch
+that is mostly links. What markup itself names as menu, header, footer, sidebar, notice, advert,
+form, script, style or comment counts as no text, unless it holds the article. Surge and dive are located on every
 page. An element that names the article corrects them where it holds at least half of the text they
 enclose: they move to its first and last line, so that a short one stays in and its neighbours do not.
 """
@@ -110,12 +111,14 @@ class Line(NamedTuple):
     text: str
     article: int  # the outermost element around it that names the article, from 1; 0: none
     chrome: int  # the innermost chrome around it, -1: none
+    linked: int  # how many of its characters are in links
 
 
 def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
     """The page's lines of text in order, with those of doubtful chrome, and its elements of chrome."""
     lines: list[Line] = []
     parts: dict[int, list[str]] = {}  # of the line, for each chrome
+    linked: Counter[int] = Counter()  # characters of them in links
     open_: list[tuple[str, int, bool]] = []  # tag, chrome around it, article
     depth: Counter[str] = Counter()  # how many of a tag are open
     found: list[Chrome] = []
@@ -134,15 +137,19 @@ def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
         for c, texts in parts.items():
             text = " ".join("".join(texts).split())
             if text:
-                lines.append(Line(text, articles if article else 0, c))
+                lines.append(Line(text, articles if article else 0, c, min(linked[c], len(text))))
         parts.clear()
+        linked.clear()
 
     while at < size:
         m = TOKEN.match(page, at) or LOOSE.match(page, at)
         at = m.end()
         if m["text"] is not None:
             if chrome < 0 or found[chrome].doubtful:
-                parts.setdefault(chrome, []).append(html.unescape(m["text"]))
+                text = html.unescape(m["text"])
+                parts.setdefault(chrome, []).append(text)
+                if depth["a"]:
+                    linked[chrome] += len(text.strip())
             continue
         if m["tag"] is None:
             continue
@@ -175,7 +182,7 @@ def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
         says_chrome = bool(marks) and not exempt
         is_article = is_article and not says_chrome
         certain = tag in CHROME - DOUBTFUL or (tag == "header" and not article)
-        if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option"):
+        if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option", "a"):
             # these close the one before them where its end tag was left out
             if open_ and open_[-1][0] == tag:
                 close()
@@ -234,37 +241,49 @@ def shown(lines: Sequence[Line], found: Sequence[Chrome], window: int = WINDOW,
     return [kept, more] if len(more) > len(kept) else [kept]
 
 
-def dense_range(lengths: np.ndarray, weights: np.ndarray, window: int = WINDOW, dense: int = DENSE) -> tuple[int, int]:
-    """First line and the line after the last one between surge and dive; all lines if no window is dense.
-
-    Of several runs of dense windows that of the greatest weight counts.
-    """
+def dense_lines(
+    lengths: np.ndarray, linked: np.ndarray, weights: np.ndarray, window: int = WINDOW, dense: int = DENSE
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each line whether it is between the first surge and the last dive and no link in a gap of links, and
+    whether it is in the stretch of the greatest weight without such a gap. All lines are both if no window is dense."""
     n = len(lengths)
-    if not n:
-        return 0, 0
     total = np.concatenate([[0], np.cumsum(lengths)])
     ends = np.minimum(np.arange(n) + window, n)
     sums = total[ends] - total[:n]  # of the window that begins at each line
     thick = sums >= dense
     if not thick.any():
-        return 0, n
+        return np.ones(n, np.bool_), np.ones(n, np.bool_)
     # a surge begins a run of dense windows, its dive is the last line before the run's end that any window covers
     steps = np.diff(np.concatenate([[0], thick.astype(np.int8), [0]]))
     surges, dives = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
     stops = np.minimum(dives + window - 1, n)
+    links = np.concatenate([[0], np.cumsum(linked)])
     heavy = np.concatenate([[0], np.cumsum(weights)])
-    best = int(np.argmax(heavy[stops] - heavy[surges]))
-    return int(surges[best]), int(stops[best])
-
 
-def main_lines(lengths: np.ndarray, articles: np.ndarray) -> np.ndarray:
-    """For each line whether it is main text, from its length and the article it is in (0: none)."""
+    def in_links(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return 2 * (links[last] - links[first]) > total[last] - total[first]
+
+    text = ~in_links(surges, stops)
+    if text.any():
+        surges, stops = surges[text], stops[text]
+    # a short stretch in the text does not end it
+    broken = np.flatnonzero(in_links(stops[:-1], np.maximum(surges[1:], stops[:-1])))
+    firsts, lasts = surges[np.concatenate([[0], broken + 1])], stops[np.concatenate([broken, [len(stops) - 1]])]
+    keep, best = np.zeros(n, np.bool_), np.zeros(n, np.bool_)
+    keep[firsts[0] : lasts[-1]] = True
+    for first, last in zip(lasts[:-1], firsts[1:]):
+        keep[first:last] = 2 * linked[first:last] <= lengths[first:last]
+    most = int(np.argmax(heavy[lasts] - heavy[firsts]))
+    best[firsts[most] : lasts[most]] = True
+    return keep, best
+
+
+def main_lines(lengths: np.ndarray, linked: np.ndarray, articles: np.ndarray) -> np.ndarray:
+    """For each line whether it is main text, from its length, how much of it is linked and its article (0: none)."""
     named = articles > 0
-    keep = np.zeros(len(lengths), np.bool_)
-    # text of an article counts twice between runs, so that a long text elsewhere does not outdo it
-    first, last = dense_range(lengths, lengths * (1 + named))
-    keep[first:last] = True
-    if 2 * lengths[keep & named].sum() >= lengths[keep].sum():
+    # text of an article counts twice between stretches, so that a long text elsewhere does not outdo it
+    keep, best = dense_lines(lengths, linked, lengths * (1 + named))
+    if 2 * lengths[best & named].sum() >= lengths[best].sum():
         # the bounds move to those of the articles between them; of what is between two articles nothing stays
         return named & np.isin(articles, articles[keep])
     return keep
@@ -276,8 +295,9 @@ def main_text(page: str) -> str:
     for chrome in shown(lines, found):
         at = [i for i, x in enumerate(lines) if x.chrome in chrome]
         lengths = np.fromiter((len(lines[i].text) for i in at), np.int64, len(at))
+        linked = np.fromiter((lines[i].linked for i in at), np.int64, len(at))
         articles = np.fromiter((lines[i].article for i in at), np.int64, len(at))
-        keep[np.array(at, np.int64)[main_lines(lengths, articles)]] = True
+        keep[np.array(at, np.int64)[main_lines(lengths, linked, articles)]] = True
     return "\n".join(x.text for x, k in zip(lines, keep) if k)
 
 

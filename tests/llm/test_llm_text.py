@@ -271,6 +271,26 @@ def test_chrome_words_and_what_holds_the_text():
     assert main_text(f"<div>{text}</div><p>a <span class=ad>x</span> b</p>").endswith("\na b")
 
 
+def test_short_lines_do_not_split_the_text():
+    half = [f"{'sentence of the text ' * 15}{i}" for i in range(4)]
+    paragraphs = "".join(f"<p>{p}</p>" for p in half)
+    link = "<div><a href=x>go</a></div>" * 12
+    for item in ("an item of list", "said no one"):
+        items = [f"{item} {i}" for i in range(5)]
+        page = f"{paragraphs}<ul>{''.join(f'<li>{i}</li>' for i in items)}</ul>{paragraphs}"
+        assert main_text(page) == "\n".join(half + items + half)
+        got = main_text(f"{link}<div>{page}</div>{link}").split("\n")
+        assert [x for x in got if x != "go"] == half + items + half and got.count("go") <= 4
+    # a list of links between two texts stays out but for the lines that a window reaches; both texts stay
+    got = main_text(f"{paragraphs}{link}{paragraphs}").split("\n")
+    assert [x for x in got if x != "go"] == half + half and got.count("go") <= 4
+    got = main_text(f"{paragraphs}{link}<p>short</p>{link}{paragraphs}").split("\n")
+    assert [x for x in got if x != "go"] == [*half, "short", *half]
+    # and a run of long lines that are links is none
+    menu = "".join(f"<p><a href=x>{'words of a link ' * 8}</a>" for _ in range(6))
+    assert "link" not in main_text(f"{menu}{link}{paragraphs}")
+
+
 def test_html_text_on_rows(spark):
     pages = list(PAGES) + [None, "<p>x", "<p>x"]
     df = spark.createDataFrame([(i, p, "u") for i, p in enumerate(pages)], "page_id int, html string, text string")
