@@ -17,14 +17,20 @@ from promolens.llm.common import ensure_checkpoint_dir, table, vocabulary_path
 from promolens.llm.decontaminate import decontaminate
 from promolens.llm.jaccard_join import keep_one
 from promolens.llm.line_dedup import line_dedup
-from promolens.llm.quality import quality
+from promolens.llm.quality import THRESHOLD, fit_quality, score_quality
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    All of them if it has no weights, as without labels that could be fitted.
+    """
     bare, names = _shielded(docs)
-    judged = quality(bare, table(spark, sf_dir, "labels"), keep=["text", *names])
-    return _restored(judged.where("predicted = 1"), docs, names)
+    weights = fit_quality(bare, table(spark, sf_dir, "labels"))
+    if not weights.any():
+        return docs
+    judged = score_quality(bare, weights, keep=["text", *names])
+    return _restored(judged.where(F.col("score") >= THRESHOLD), docs, names)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

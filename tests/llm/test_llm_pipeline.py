@@ -113,6 +113,17 @@ def test_pipeline_on_edge_cases(spark, tmp_path):
     assert all(r.n_chars == len(r.text) for r in clean.collect())
 
 
+@pytest.mark.parametrize("marks", [[], [(1, None), (None, 1), (4, 2), (999, 1), (998, 0)]])
+def test_without_usable_labels_no_document_is_rejected(spark, tmp_path, marks):
+    docs = spark.createDataFrame(DOCUMENTS, COLUMNS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(marks, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.keep_quality(spark, docs, str(tmp_path))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
 def test_pipeline_on_empty_tables(spark, tmp_path):
     for name, columns in (("documents", COLUMNS), ("labels", "doc_id long, quality int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
