@@ -29,7 +29,9 @@ from promolens.llm.common import chunks
 WINDOW, DENSE = 3, 80
 
 #: Elements whose content is never shown as text; it may hold anything up to the end tag.
-RAW = frozenset({"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "title"})
+RAW = frozenset({"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title"})
+#: Those that reach to the page's end without an end tag; for the others a start tag without one counts for nothing.
+TO_END = frozenset({"script", "style", "textarea", "title"})
 #: Those that are not even a gap in the text around them.
 HIDDEN = frozenset({"script", "style", "noscript", "template"})
 #: Elements around the main text.
@@ -63,7 +65,9 @@ VOID = frozenset(
 #: Elements inside a line; every other tag ends it.
 INLINE = frozenset(
     """a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt
-    ruby s samp small span strike strong sub sup time tt u var wbr""".split()
+    ruby s samp small span strike strong sub sup time tt u var wbr
+    math menclose mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup
+    mtext munder munderover semantics""".split()
 )
 
 TOKEN = re.compile(
@@ -122,6 +126,7 @@ def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
     open_: list[tuple[str, int, bool]] = []  # tag, chrome around it, article
     depth: Counter[str] = Counter()  # how many of a tag are open
     found: list[Chrome] = []
+    endless: set[str] = set()  # tags that have no end tag any more
     chrome, article, articles = -1, 0, 0
     at, size = 0, len(page)
 
@@ -167,8 +172,15 @@ def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
         if tag in VOID or attrs.endswith("/"):
             continue
         if tag in RAW:
-            found_end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
-            at = found_end.end() if found_end else size
+            shut = None
+            if tag not in endless:
+                shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
+            if shut:
+                at = shut.end()
+            elif tag in TO_END:
+                at = size
+            else:
+                endless.add(tag)
             continue
         if tag == "body":  # a head that was never closed ends here
             while open_:

@@ -291,6 +291,16 @@ def test_short_lines_do_not_split_the_text():
     assert "link" not in main_text(f"{menu}{link}{paragraphs}")
 
 
+def test_an_unclosed_tag_does_not_end_the_page():
+    for tag in ("noscript", "svg", "math", "object", "template", "iframe"):
+        assert main_text(f"<article><p>a</p><{tag}><p>b</p></article>") == "a\nb"
+    for tag in ("noscript", "svg", "template", "iframe"):
+        assert main_text(f"<article><p>a</p><{tag}>x</{tag}><p>b</p><{tag}><p>c</p></article>") == "a\nb\nc"
+    for tag in ("script", "style", "textarea", "title"):
+        assert main_text(f"<article><p>a</p><{tag}><p>b</p></article>") == "a"
+    assert main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><object>b</object></article>") == "so x=2 holds\nb"
+
+
 def test_html_text_on_rows(spark):
     pages = list(PAGES) + [None, "<p>x", "<p>x"]
     df = spark.createDataFrame([(i, p, "u") for i, p in enumerate(pages)], "page_id int, html string, text string")
