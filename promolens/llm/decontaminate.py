@@ -4,7 +4,8 @@ A text that holds a benchmark item of n characters with at most k edits shares a
 n + 1 - q - kq of its q-grams with it, and the shared ones lie on diagonals (place in the text minus
 place in the item) that differ by at most k. So the q-grams that a document shares with an item are
 counted in overlapping bands of diagonals; regions that reach the bound are aligned within their
-band, and those with at most k edits are reported.
+band, and those with at most k edits are reported. Items with fewer than q characters are looked up
+as they stand, between the words of the text.
 """
 
 from __future__ import annotations
@@ -59,6 +60,10 @@ def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, places
 
 
+def _string(codes: np.ndarray) -> str:
+    return codes.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
     """A hash of the q characters from each place on."""
     if len(codes) < q:
@@ -79,9 +84,16 @@ class Items:
 
     def __init__(self, ids: list, texts: list[str], q: int = Q, edits: float = EDITS):
         self.q = q
-        kept = [(i, normalised(t)[0]) for i, t in zip(ids, texts)]
-        kept = [(i, c) for i, c in kept if len(c) >= q]
+        every = [(i, normalised(t)[0]) for i, t in zip(ids, texts)]
+        kept = [(i, c) for i, c in every if len(c) >= q]
         self.ids, self.codes = [i for i, _ in kept], [c for _, c in kept]
+        # items without a q-gram, behind the others in ids, by their text
+        self.short: dict[str, list[int]] = {}
+        for i, c in every:
+            if 0 < len(c) < q:
+                self.short.setdefault(_string(c), []).append(len(self.ids))
+                self.ids.append(i)
+        self.short_words = sorted({x.count(" ") + 1 for x in self.short})
         n = np.array([len(c) for c in self.codes], np.int64)
         self.size = n
         # as many edits as leave a bound of one q-gram
@@ -180,6 +192,18 @@ def whole_at(item: np.ndarray, region: np.ndarray) -> int:
     return at // 4 if at >= 0 else -1
 
 
+def short_matches(items: Items, codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item, start, end) of the items without a q-gram that are whole words of the normalised text."""
+    text = _string(codes)
+    ends = [i for i, c in enumerate(text) if c == " "] + [len(text)]
+    starts = [0, *(i + 1 for i in ends[:-1])]
+    for words in items.short_words:
+        for first, last in zip(starts, ends[words - 1 :]):
+            if last - first < items.q:
+                for j in items.short.get(text[first:last], ()):
+                    yield j, first, last
+
+
 def matches(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits) of the items in the texts, in code points of the text.
 
@@ -191,8 +215,11 @@ def matches(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, in
     sizes = np.array([len(c) for c, _ in parts], np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
     of = np.repeat(np.arange(len(texts)), sizes + 1)
-    doc, item, band = candidates(items, codes, of)
     found = []
+    if items.short:
+        for d, (c, _) in enumerate(parts):
+            found += ((d, j, 0, int(starts[d]) + a, int(starts[d]) + b) for j, a, b in short_matches(items, c))
+    doc, item, band = candidates(items, codes, of) if len(items.size) else (np.empty(0, np.int64),) * 3
     for j in np.unique(item).tolist():
         mine = item == j
         n, k = int(items.size[j]), int(items.budget[j])
@@ -243,10 +270,10 @@ def benchmark_matches(
     Texts are compared lower-cased, with any run of other characters than letters and digits as one
     space; ``start`` and ``end`` (exclusive) are code points of the document's own text. An item
     matches with up to ``edits`` times its length of insertions, deletions and replacements of
-    characters, less for items so short that the q-gram bound would be empty.
+    characters, less for items so short that the q-gram bound would be empty. Items with fewer than
+    ``q`` characters match without edits, as whole words.
 
-    Empty and NULL texts hold nothing and, as items, are never found; nor are items with fewer than
-    ``q`` characters. Repeated documents are all reported; so are repeated items. Other columns are
+    Empty and NULL texts hold nothing and, as items, are never found. Repeated documents are all reported; so are repeated items. Other columns are
     left out. The items are looked for in blocks of bounded size, with a pass over the documents each.
     """
     size = benchmark.agg(F.coalesce(F.sum(F.length(item_text)), F.lit(0))).first()[0]

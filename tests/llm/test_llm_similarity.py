@@ -259,3 +259,25 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(module, "BLOCK_CHARS", 300)
     got = benchmark_matches(docs, bench).where(F.col("doc_id") == F.col("item_id"))
     assert got.count() == len(items)
+
+
+@pytest.mark.parametrize("others", [["an item that is longer than a q-gram"], []])
+def test_items_shorter_than_a_q_gram_match_as_words(others):
+    shorts = ["Paris", "4 2", "東京", "a b", "--", "7 chars"]
+    held = Items(list(range(len(shorts + others))), shorts + others)
+    texts = ["In paris!", "comparison parisian", "4, 2 or 4-2", "x 東京 y", "東京都", "a b a b", "", None, "7 char", "(7) CHARS"]
+    found = {}
+    for d, j, start, end, edits in matches(held, [t or "" for t in texts]):
+        assert edits == 0
+        found.setdefault((texts[d], held.ids[j]), []).append(texts[d][start:end])
+    assert found == {
+        ("In paris!", 0): ["paris"], ("4, 2 or 4-2", 1): ["4, 2", "4-2"], ("x 東京 y", 2): ["東京"],
+        ("a b a b", 3): ["a b", "a b"], ("(7) CHARS", 5): ["7) CHARS"],
+    }
+
+
+def test_short_items_on_rows(spark):
+    docs = spark.createDataFrame([(1, "The answer: Paris."), (2, "parisian"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "paris")], "item_id int, text string")
+    assert [tuple(r) for r in benchmark_matches(docs, bench).collect()] == [(1, 7, 12, 17, 0)]
+    assert sorted(r.doc_id for r in decontaminate(docs, bench).collect()) == [2, 3]
