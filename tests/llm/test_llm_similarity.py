@@ -162,6 +162,16 @@ def test_fingerprints_estimate_the_similarity(spark, monkeypatch, chars):
     assert by_text[""] == {""}
 
 
+def test_error_at_the_registered_count(spark, monkeypatch):
+    from promolens.llm.fingerprints import SAMPLES
+
+    texts = sample_texts(5, groups=20, copies=4)
+    errors, _ = check_edited(spark, list(enumerate(texts)), monkeypatch, samples=SAMPLES)
+    # a share of 24 draws has a standard error of 0.102 at most
+    assert abs(errors.mean()) < 0.03
+    assert np.sqrt((errors**2).mean()) < 0.102
+
+
 def test_a_single_document_follows_itself(spark, monkeypatch):
     _, got = check_edited(spark, [(3, "one two three four")], monkeypatch, samples=24)
     assert got[3].near_next == 1.0
