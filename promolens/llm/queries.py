@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.llm.bpe import bpe
+from promolens.llm.collocations import COVERED_PERCENT, MAX_WORDS, MIN_COUNT, TOP, collocations
 from promolens.llm.common import table, vocabulary_path
 from promolens.llm.decontaminate import benchmark_matches
 from promolens.llm.fingerprints import edited_fingerprints
@@ -172,6 +173,54 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def _op11_sql() -> str:
+    cuts = " UNION ALL ".join(
+        f"SELECT *, {k} AS k, array_to_string(ws[1:{k}], ' ') AS first, array_to_string(ws[{k + 1}:], ' ') AS rest"
+        f" FROM counts WHERE len(ws) > {k}"
+        for k in range(1, MAX_WORDS)
+    )
+    phrases = " UNION ALL ".join(
+        f"SELECT lang, unnest(list_transform(range(1, len(ws) - {m} + 2), i -> ws[i:i + {m - 1}])) AS ws FROM pieces"
+        for m in range(1, MAX_WORDS + 1)
+    )
+    return rf"""
+    WITH texts AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?
+-]')) AS piece
+      FROM documents),
+    pieces AS (
+      SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), w -> w <> '') AS ws FROM texts),
+    totals AS (SELECT lang, sum(len(ws)) AS n FROM pieces GROUP BY lang),
+    counts AS (
+      SELECT lang, ws, array_to_string(ws, ' ') AS phrase, count(*)::HUGEINT AS a
+      FROM ({phrases}) GROUP BY lang, ws HAVING count(*) >= {MIN_COUNT}),
+    cuts AS ({cuts}),
+    scored AS (
+      SELECT c.lang, c.phrase, c.ws, c.a, c.k, x.a AS l, y.a AS r, (1000000 * c.a * c.a) // (x.a * y.a) AS score
+      FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+                  JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest),
+    best AS (
+      SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    kept AS (
+      SELECT b.* FROM best b
+      WHERE NOT EXISTS (
+        SELECT 1 FROM counts x
+        WHERE x.lang = b.lang AND len(x.ws) > len(b.ws) AND 100 * x.a >= {COVERED_PERCENT} * b.a
+          AND contains(' ' || x.phrase || ' ', ' ' || b.phrase || ' ')))
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank,
+           phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM kept JOIN totals USING (lang)
+    QUALIFY rank <= {TOP}
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter,
@@ -184,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_fingerprints,
         op10_html_text,
+        op11_collocations,
     )
 }
 
@@ -191,4 +241,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": _op1_sql(),
     "op5_line_dedup": _op5_sql(),
     "op8_secrets": _op8_sql(),
+    "op11_collocations": _op11_sql(),
 }
