@@ -184,7 +184,7 @@ def _op11_sql() -> str:
         for k in range(1, MAX_WORDS)
     )
     phrases = " UNION ALL ".join(
-        f"SELECT lang, unnest(list_transform(range(1, len(ws) - {m} + 2), i -> ws[i:i + {m - 1}])) AS ws FROM pieces"
+        f"SELECT lang, unnest(list_transform(range(1, len(ws) - {m} + 2), lambda i: ws[i:i + {m - 1}])) AS ws FROM pieces"
         for m in range(1, MAX_WORDS + 1)
     )
     return rf"""
@@ -196,7 +196,7 @@ def _op11_sql() -> str:
 -]')) AS piece
       FROM documents),
     pieces AS (
-      SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), w -> w <> '') AS ws FROM texts),
+      SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda w: w <> '') AS ws FROM texts),
     totals AS (SELECT lang, sum(len(ws)) AS n FROM pieces GROUP BY lang),
     counts AS (
       SELECT lang, ws, array_to_string(ws, ' ') AS phrase, count(*)::HUGEINT AS a
