@@ -17,6 +17,7 @@ from promolens.llm.jaccard_join import jaccard_join
 from promolens.llm.line_dedup import MIN_CHARS, MIN_DOCUMENTS, line_dedup
 from promolens.llm.quality import quality
 from promolens.llm.secrets import BASE_RULES, MORE_RULES, secret_scan
+from promolens.llm.substring_dedup import WINDOW, substring_dedup
 from promolens.llm.toxicity import toxicity
 from promolens.llm.url_filter import UNWANTED_WORDS, Rule, unwanted_hosts, url_filter
 
@@ -193,7 +194,8 @@ def _op11_sql() -> str:
              unnest(regexp_split_to_array(
                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
       FROM documents),
     pieces AS (
       SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda w: w <> '') AS ws FROM texts),
@@ -221,6 +223,35 @@ def _op11_sql() -> str:
     """
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _op13_sql() -> str:
+    return rf"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS nth, doc_id,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+      FROM documents),
+    windows AS (
+      SELECT nth, at, md5(array_to_string(ws[at:at + {WINDOW - 1}], ' ')) AS held
+      FROM (SELECT nth, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS at FROM docs)),
+    again AS (SELECT held FROM windows GROUP BY held HAVING count(*) > 1),
+    covered AS (
+      SELECT DISTINCT nth, unnest(range(at, at + {WINDOW})) AS at FROM windows WHERE held IN (SELECT held FROM again)),
+    kept AS (
+      SELECT w.nth, count(*) AS n_words, count(c.at) AS n_removed,
+             string_agg(w.word, ' ' ORDER BY w.at) FILTER (WHERE c.at IS NULL) AS left_over
+      FROM (SELECT nth, unnest(ws) AS word, generate_subscripts(ws, 1) AS at FROM docs) w
+      LEFT JOIN covered c ON c.nth = w.nth AND c.at = w.at
+      GROUP BY w.nth)
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(left_over, '')) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (nth)
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter,
@@ -234,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_fingerprints,
         op10_html_text,
         op11_collocations,
+        op13_substring_dedup,
     )
 }
 
@@ -242,4 +274,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": _op5_sql(),
     "op8_secrets": _op8_sql(),
     "op11_collocations": _op11_sql(),
+    "op13_substring_dedup": _op13_sql(),
 }
