@@ -20,6 +20,7 @@ from promolens.llm.secrets import BASE_RULES, MORE_RULES, secret_scan
 from promolens.llm.substring_dedup import WINDOW, substring_dedup
 from promolens.llm.toxicity import toxicity
 from promolens.llm.url_filter import UNWANTED_WORDS, Rule, unwanted_hosts, url_filter
+from promolens.llm.whitening import whiten
 
 #: The rules that op1 judges by.
 URL_RULES = (
@@ -223,6 +224,20 @@ def _op11_sql() -> str:
     """
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    every = found.select("*", F.posexplode("whitened").alias("place", "value"))
+    return every.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        F.col("deviation").cast("long").alias("deviation"),
+        F.col("value").alias("whitened"),
+        F.get("explained", F.col("place")).alias("explained"),
+        "identity_error",
+    )
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -235,16 +250,17 @@ def _op13_sql() -> str:
              list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
       FROM documents),
     windows AS (
-      SELECT nth, at, md5(array_to_string(ws[at:at + {WINDOW - 1}], ' ')) AS held
-      FROM (SELECT nth, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS at FROM docs)),
+      SELECT nth, pos, md5(array_to_string(ws[pos:pos + {WINDOW - 1}], ' ')) AS held
+      FROM (SELECT nth, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS pos FROM docs)),
     again AS (SELECT held FROM windows GROUP BY held HAVING count(*) > 1),
     covered AS (
-      SELECT DISTINCT nth, unnest(range(at, at + {WINDOW})) AS at FROM windows WHERE held IN (SELECT held FROM again)),
+      SELECT DISTINCT nth, unnest(range(pos, pos + {WINDOW})) AS pos FROM windows
+      WHERE held IN (SELECT held FROM again)),
     kept AS (
-      SELECT w.nth, count(*) AS n_words, count(c.at) AS n_removed,
-             string_agg(w.word, ' ' ORDER BY w.at) FILTER (WHERE c.at IS NULL) AS left_over
-      FROM (SELECT nth, unnest(ws) AS word, generate_subscripts(ws, 1) AS at FROM docs) w
-      LEFT JOIN covered c ON c.nth = w.nth AND c.at = w.at
+      SELECT w.nth, count(*) AS n_words, count(c.pos) AS n_removed,
+             string_agg(w.word, ' ' ORDER BY w.pos) FILTER (WHERE c.pos IS NULL) AS left_over
+      FROM (SELECT nth, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM docs) w
+      LEFT JOIN covered c ON c.nth = w.nth AND c.pos = w.pos
       GROUP BY w.nth)
     SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
            sha256(coalesce(left_over, '')) AS kept_sha256
@@ -265,6 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_fingerprints,
         op10_html_text,
         op11_collocations,
+        op12_whitening,
         op13_substring_dedup,
     )
 }
