@@ -35,6 +35,8 @@ GUARD, LARGEST, INNER, ROUNDS = 4, 40, 8, 200
 ASKED, ACCEPTED = 64 * float(np.finfo(float).eps), 1e-10
 #: Points in a tile, and entries in a stored part.
 TILE, PART = 4096, 1 << 22
+#: Part of a right side that MINRES is to leave.
+ENOUGH = 1e-3
 
 Product = Callable[[np.ndarray], np.ndarray]
 
@@ -169,10 +171,14 @@ def _extended(basis: np.ndarray, block: np.ndarray) -> np.ndarray:
 
 
 def _minres(product: Product, right: np.ndarray, steps: int) -> np.ndarray:
-    """Some MINRES steps for a symmetric system for each column, all columns in the same passes."""
+    """Some MINRES steps for a symmetric system for each column, all columns in the same passes.
+
+    A column whose residual has fallen to ``ENOUGH`` of the right side stays as it is: near an eigenvalue, further
+    steps would only enlarge rounding.
+    """
     columns = right.shape[1]
     old, beta = np.zeros_like(right), np.zeros(columns)
-    size = np.linalg.norm(right, axis=0)
+    size = first = np.linalg.norm(right, axis=0)
     new = right / np.where(size > 0, size, 1)
     cosine, sine = np.ones((2, columns)), np.zeros((2, columns))  # of the last two rotations
     direction = np.zeros((2, *right.shape))
@@ -188,7 +194,10 @@ def _minres(product: Product, right: np.ndarray, steps: int) -> np.ndarray:
         step = new - direction[0] * (sine[0] * beta) - direction[1] * (sine[1] * alpha + cosine[0] * cosine[1] * beta)
         direction = np.stack([direction[1], step / turned])
         cosine, sine = np.stack([cosine[1], before / turned]), np.stack([sine[1], following / turned])
-        found += direction[1] * (cosine[1] * size)
+        open_ = np.abs(size) > ENOUGH * first
+        if not open_.any():
+            break
+        found += direction[1] * (cosine[1] * size) * open_
         size = -sine[1] * size
         old, new, beta = new, ahead / np.where(following > 0, following, 1), following
     return found
