@@ -136,7 +136,7 @@ def _left_windows(lengths: Sequence[int], window: int):
         for own, texts in _parts_of(batches):
             words = _Words(texts, window)
             lone = _is_lone(words, words.chosen(lengths, window), own["start"].to_numpy(), own["lone"])
-            first, last = _stretches(words.starts[~lone])
+            first, last = _stretches(words.starts[~lone], words.row)
             held = [b" ".join(words.words[a : b + window]).decode() for a, b in zip(first, last, strict=True)]
             yield _placed(own, words, first, text=pa.array(held, pa.string()))
 
@@ -150,15 +150,15 @@ def _covered(lengths: Sequence[int], window: int):
         for own, texts in _parts_of(batches):
             words = _Words(texts, window)
             lone = _is_lone(words, words.starts, own["start"].to_numpy(), own["lone"])
-            first, last = _stretches(words.starts[~lone])
+            first, last = _stretches(words.starts[~lone], words.row)
             yield _placed(own, words, first, size=last - first + window)
 
     return task
 
 
-def _stretches(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last of each run of consecutive numbers."""
-    gap = np.flatnonzero(np.diff(at) > 1)
+def _stretches(at: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of consecutive places in one text."""
+    gap = np.flatnonzero((np.diff(at) > 1) | (np.diff(row[at]) > 0))
     return at[np.concatenate([[0], gap + 1])[: len(at)]], at[np.concatenate([gap, [len(at) - 1]])[: len(at)]]
 
 
