@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from promolens.functions import money, percent, ratio, round_to
 from promolens.operators.benchmark import peer_benchmark
-from promolens.operators.ranking import top_k
+from promolens.operators.ranking import contenders, top_k
 from promolens.operators.rollup import delivered, kpi_rollup
 from promolens.sources.tables import CampaignTables
 
@@ -67,9 +67,7 @@ def q04_top_campaigns_roas(
     names = t.creators.select("creator_id", F.col("name").alias("creator_name"))
     categories = t.videos.select("video_id", "category")
     # Only the ids take part until k campaigns are left; names and categories are for these.
-    known = scored.join(names.select("creator_id"), "creator_id", "left_semi").join(
-        categories.select("video_id"), "video_id", "left_semi"
-    )
+    known = contenders(scored, k, "roas", [("creator_id", names), ("video_id", categories)])
     order = (F.col("roas").desc_nulls_last(), F.col("campaign_id").asc())
     best = top_k(known, k, *order).join(names, "creator_id").join(categories, "video_id")
     return best.orderBy(*order).select(

@@ -5,7 +5,8 @@ import sample
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from promolens.operators.ranking import distributed_ntile, top_k_ranked
+from promolens.operators import ranking
+from promolens.operators.ranking import concentration, contenders, distributed_ntile, ranked_values, top_k_ranked
 from promolens.operators.rollup import campaign_totals, one_row
 
 
@@ -97,3 +98,77 @@ def test_one_row_without_a_cross_join(spark):
     b = spark.range(3).agg(F.sum("id").alias("s"))
     c = spark.range(0).agg(F.sum("id").alias("nothing"))
     assert tuple(one_row(a, b, c).first()) == (5, 3, None)
+
+
+def shares(values, tiles):
+    """(tile, members, total) of values dealt out in order, NULL last."""
+    order = sorted(values, key=lambda v: (v is None, -(v or 0)))
+    small, larger = divmod(len(order), tiles)
+    out, at = [], 0
+    for tile in range(1, tiles + 1):
+        part = order[at : at + small + (tile <= larger)]
+        at += len(part)
+        known = [v for v in part if v is not None]
+        if part:
+            out.append((tile, len(part), sum(known) if known else None))
+    return out
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 7, 1003])
+@pytest.mark.parametrize("tiles", [1, 4, 5])
+@pytest.mark.parametrize("kind", ["long", "decimal(20,2)"])
+def test_concentration_against_brute_force(spark, n, tiles, kind):
+    r = random.Random(n + tiles)
+    amounts = [0, 0, 1, 2, 500, -3, None, 10**9, 10**9 + 1]
+    values = [r.choice(amounts) if i % 2 else r.randrange(-50, 10**6) for i in range(n)]
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v long").repartition(6)
+    got = concentration(df.withColumn("v", F.col("v").cast(kind)), "id", "v", tiles).orderBy("tile").collect()
+    assert [(t.tile, t.members, t.total) for t in got] == shares(values, tiles)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_concentration_on_many_rows(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    amount = F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(100_000)))
+    df = spark.range(100_003).select("id", amount.alias("v"))
+    try:
+        got = concentration(df, "id", "v", 7).orderBy("tile").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [(t.tile, t.members, t.total) for t in got] == shares([r.v for r in df.collect()], 7)
+    assert got[-1].cumulative_pct == 100.0
+
+
+def test_places_of_values(spark):
+    rows = [(5,), (5,), (None,), (9,), (-1,), (5,), (None,)]
+    got = ranked_values(spark.createDataFrame(rows, "v int"), "v").collect()
+    assert {(r.v, r.rows, r.start, r.total) for r in got} == {(9, 1, 0, 7), (5, 3, 1, 7), (-1, 1, 4, 7), (None, 2, 5, 7)}
+
+
+def test_concentration_reads_its_input_once_and_numbers_no_row(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
+    done = spark.sparkContext.statusTracker()
+    before = len(done.getJobIdsForGroup())
+    plan = concentration(df, "id", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(done.getJobIdsForGroup()) == before
+    assert plan.count("Range (0, 1000") == 1
+    assert "row_number" not in plan
+    assert "Join" not in plan
+
+
+@pytest.mark.parametrize("leaders", [1, 8, 1000])
+@pytest.mark.parametrize("known", [0, 3, 40])
+def test_contenders_hold_the_best_known_rows(spark, monkeypatch, leaders, known):
+    monkeypatch.setattr(ranking, "LEADERS", leaders)
+    r = random.Random(known)
+    rows = [(i, r.randrange(60), r.randrange(5), r.choice([None, 1.5, 2.5, 9.0, r.random()])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, a int, b int, v double").repartition(4)
+    a, b = (spark.range(n).select(F.col("id").cast("int").alias(c)) for c, n in (("a", known), ("b", 4)))
+    order = lambda row: (row[3] is None, -(row[3] or 0), row[0])
+    for k in (1, 5, 20):
+        got = [tuple(x) for x in contenders(df, k, "v", [("a", a), ("b", b)]).collect()]
+        expected = sorted((x for x in rows if x[1] < known and x[2] < 4), key=order)
+        assert sorted(got, key=order)[:k] == expected[:k]
+        assert set(got) <= set(expected)
+        if known == 40 and leaders == 1000 and k < 5:
+            assert len(got) < len(expected) / 2
