@@ -206,7 +206,13 @@ def _q05(as_of: str) -> str:
         FROM lived GROUP BY plan_type"""
 
 
-def _churn(as_of: str, placeholder: bool) -> str:
+def _churn(as_of: str, placeholder: bool, as_row: bool = False) -> str:
+    latest = "SELECT creator_id, MAX(start_date) AS last_day, MAX(campaign_id) AS last_id FROM campaigns GROUP BY creator_id"
+    if as_row:
+        latest = """
+            SELECT creator_id, start_date AS last_day, campaign_id AS last_id FROM campaigns
+            QUALIFY ROW_NUMBER() OVER (
+                PARTITION BY creator_id ORDER BY start_date DESC NULLS LAST, campaign_id DESC) = 1"""
     lower = "" if placeholder else "m.metric_date >= l.last_day AND"
     mark = " RISK" if placeholder else ""
     age = "days_since_last_campaign" if placeholder else "days_since_last"
@@ -216,9 +222,7 @@ def _churn(as_of: str, placeholder: bool) -> str:
         else ""
     )
     return f"""
-        WITH latest AS (
-            SELECT creator_id, MAX(start_date) AS last_day, MAX(campaign_id) AS last_id
-            FROM campaigns GROUP BY creator_id),
+        WITH latest AS ({latest}),
         seen AS (
             SELECT l.creator_id, date_diff('day', l.last_day, DATE '{as_of}') AS age,
                    SUM(CASE WHEN {lower} m.metric_date <= l.last_day + 7
@@ -494,6 +498,23 @@ _FLIGHT = """
     WHERE m.metric_date < c.start_date OR m.metric_date > c.end_date
     GROUP BY ALL"""
 
+_ONE_ROW = """
+    SELECT CAST(metric_id AS BIGINT) AS metric_id, campaign_id, CAST(NULL AS VARCHAR) AS metric_date, impressions,
+           views, clicks, new_subscribers, likes, CAST(spend_usd AS DOUBLE) AS spend_usd,
+           CAST(watch_time_mins AS DOUBLE) AS watch_time_mins
+    FROM campaign_daily_metrics
+    QUALIFY ROW_NUMBER() OVER (
+        PARTITION BY metric_id
+        ORDER BY campaign_id DESC, impressions DESC, views DESC, clicks DESC, new_subscribers DESC, likes DESC,
+                 spend_usd DESC, watch_time_mins DESC) = 1"""
+_TOTALS = f"""
+    SELECT campaign_id, COUNT(*) AS metric_rows, {_big('SUM(impressions)')} AS impressions,
+           {_big('SUM(views)')} AS views, {_big('SUM(clicks)')} AS clicks,
+           {_big('SUM(new_subscribers)')} AS new_subscribers, {_big('SUM(likes)')} AS likes,
+           {_big('SUM(likes + clicks)')} AS engagements, {_usd('SUM(spend_usd)')} AS spend_usd,
+           {_usd('SUM(watch_time_mins)')} AS watch_time_mins, COUNT(views * 100 / NULLIF(impressions, 0)) AS vtr_rows
+    FROM campaign_daily_metrics GROUP BY campaign_id"""
+
 
 def bodies(upgraded: tuple[str, ...], home: str, tenure_as_of: str, churn_as_of: str):
     """Query name to SQL over the six campaign tables."""
@@ -507,6 +528,7 @@ def bodies(upgraded: tuple[str, ...], home: str, tenure_as_of: str, churn_as_of:
         "q05_ltv_by_plan": _q05(tenure_as_of),
         "q06_churn_risk": _churn(churn_as_of, placeholder=False),
         "q06a_churn_risk_placeholder": _churn(churn_as_of, placeholder=True),
+        "q06_latest_as_row": _churn(churn_as_of, placeholder=False, as_row=True),
         "q07_monthly_growth": _Q07,
         "q08_campaign_type_effectiveness": _q08(_ROW_BUDGET),
         "q08_gs": _q08("any_value(b.budget)", once_by_type),
@@ -528,6 +550,8 @@ def bodies(upgraded: tuple[str, ...], home: str, tenure_as_of: str, churn_as_of:
         "dq_domain": _DOMAIN,
         "dq_varchar_length": _LENGTH,
         "dq_metric_in_flight": _FLIGHT,
+        "one_row_per_metric_id": _ONE_ROW,
+        "campaign_totals_by_batch": _TOTALS,
     }
 
 

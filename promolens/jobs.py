@@ -67,7 +67,7 @@ def ingest(
         raise ValueError("the typed tables need a folder of their own")
     for name in SPECS:
         write_table(read_table(spark, name, f"{raw}/{name}", fmt), name, f"{target}/{name}", mode)
-    tables = CampaignTables.load(spark, target)
+    tables = CampaignTables.load(spark, target, unique_keys=True)
     for check in CHECKS:
         check(tables).write.mode(mode).parquet(f"{target}/_quality/{check.__name__}")
     require_unique_keys(tables, spark.read.parquet(f"{target}/_quality/dq_primary_key"))
@@ -139,8 +139,11 @@ def main(arguments: list[str] | None = None) -> None:
             spark, given.raw, given.target, given.format, database=given.database, buckets=given.buckets
         )
     else:
-        load_from = CampaignTables.from_catalog if given.catalog else CampaignTables.load
-        write_reports(spark, load_from(spark, given.root), given.target, given.as_of, given.home)
+        if given.catalog:
+            tables = CampaignTables.from_catalog(spark, given.root)
+        else:
+            tables = CampaignTables.load(spark, given.root, unique_keys=True)  # write_reports checks them
+        write_reports(spark, tables, given.target, given.as_of, given.home)
 
 
 if __name__ == "__main__":

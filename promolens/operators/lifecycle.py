@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import completed_months, percent, ratio, round_to, year_month
+from promolens.operators.key_filter import only_keys_of
 
 
 def first_campaigns(campaigns: DataFrame) -> DataFrame:
@@ -105,24 +106,41 @@ class RiskLabels:
     low: str = "LOW"
 
 
+def latest_campaigns(campaigns: DataFrame, as_row: bool = False) -> DataFrame:
+    """Each creator's latest campaign: (creator_id, last_start, campaign_id).
+
+    Start and id are the largest ones of the creator, each for itself, as the report defines them: they may come from
+    different campaigns. With ``as_row`` they are those of one campaign, the last to start, of these
+    the one with the largest id; campaigns without a start come first.
+    """
+    if not as_row:
+        return campaigns.groupBy("creator_id").agg(
+            F.max("start_date").alias("last_start"), F.max("campaign_id").alias("campaign_id")
+        )
+    row = F.max(F.struct("start_date", "campaign_id"))
+    found = campaigns.where("campaign_id IS NOT NULL").groupBy("creator_id").agg(row.alias("latest"))
+    return found.select(
+        "creator_id", F.col("latest.start_date").alias("last_start"), F.col("latest.campaign_id").alias("campaign_id")
+    )
+
+
 def latest_campaign_views(
-    creators: DataFrame, campaigns: DataFrame, metrics: DataFrame, week_days: int = 7
+    creators: DataFrame, campaigns: DataFrame, metrics: DataFrame, week_days: int = 7, *, as_row: bool = False
 ) -> DataFrame:
     """Active creators with the start of their latest campaign and its views around that start.
 
     ``first_week_views`` are those from the start to ``week_days`` after it, ``early_views`` those
     from before the start, ``later_views`` the rest. Creators without a metric row are left out.
+    ``as_row`` is that of ``latest_campaigns``.
 
-    The one join that takes the daily rows is followed by a regrouping, so adaptive execution may
+    A bit array of the latest campaigns' ids drops the daily rows of other campaigns where they are read.
+    The one join that takes the rest is followed by a regrouping, so adaptive execution may
     split a campaign that holds a large part of them.
     """
-    latest = campaigns.groupBy("creator_id").agg(
-        F.max("start_date").alias("last_start"), F.max("campaign_id").alias("campaign_id")
-    )
     starts = (
         creators.filter("is_active")
         .select("creator_id", "name", "plan_type", "monthly_revenue")
-        .join(latest, "creator_id")
+        .join(latest_campaigns(campaigns, as_row), "creator_id")
     )
     day, start = F.col("metric_date"), F.col("last_start")
     week_end = F.date_add(start, week_days)
@@ -131,7 +149,7 @@ def latest_campaign_views(
         return F.sum(F.when(condition, F.col("views").cast("long")).otherwise(0))
 
     return (
-        metrics.select("campaign_id", "metric_date", "views")
+        only_keys_of(metrics.select("campaign_id", "metric_date", "views"), starts, "campaign_id")
         .join(starts, "campaign_id")
         .groupBy("creator_id", "name", "plan_type", "monthly_revenue", "last_start")
         .agg(

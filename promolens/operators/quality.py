@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promolens.operators.key_filter import only_keys_of
+from promolens.operators.keys import repeated_keys
 from promolens.schemas import SPECS, TableSpec
 from promolens.sources.tables import CampaignTables
 
@@ -76,17 +78,11 @@ def dq_varchar_length(t: CampaignTables) -> DataFrame:
 
 def _repeated(df: DataFrame, table: str, column: str) -> DataFrame:
     """Values of ``column`` that occur more than once, and NULL."""
-    # Counted map-side first: a key that many rows share is one row per task in the shuffle.
-    return (
-        df.groupBy(column)
-        .agg(F.count("*").alias("copies"))
-        .filter((F.col("copies") > 1) | F.col(column).isNull())
-        .select(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.col(column).cast("string").alias("key_value"),
-            "copies",
-        )
+    return repeated_keys(df, column).select(
+        F.lit(table).alias("table_name"),
+        F.lit(column).alias("column_name"),
+        F.col(column).cast("string").alias("key_value"),
+        "copies",
     )
 
 
@@ -158,15 +154,24 @@ def dq_domain(t: CampaignTables) -> DataFrame:
 
 
 def dq_metric_in_flight(t: CampaignTables) -> DataFrame:
-    """Campaign days with metrics outside the campaign's start and end; open ends never fail."""
+    """Campaign days with metrics outside the campaign's start and end; open ends never fail.
+
+    The first and the last day of each campaign, combined before the shuffle, tell which campaigns have such
+    days. Only the daily rows that may be theirs are grouped by day, a bit array of their ids drops the others
+    where they are read.
+    """
+    day = F.col("metric_date")
+    spans = t.campaign_daily_metrics.groupBy("campaign_id").agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    flights = t.campaigns.select("campaign_id", "start_date", "end_date")
+    late = spans.join(flights, "campaign_id").where("first < start_date OR last > end_date").drop("first", "last")
     # One row per campaign and day is joined, so no campaign has more rows there than days.
-    days = t.campaign_daily_metrics.groupBy("campaign_id", "metric_date").agg(
-        F.count("*").alias("metric_rows"), F.min("metric_id").alias("first_metric_id")
+    days = (
+        only_keys_of(t.campaign_daily_metrics, late, "campaign_id")
+        .groupBy("campaign_id", "metric_date")
+        .agg(F.count("*").alias("metric_rows"), F.min("metric_id").alias("first_metric_id"))
     )
-    flights = t.campaigns.select("campaign_id", "start_date", "end_date")
-    day = F.col("metric_date")
     return (
-        days.join(flights, "campaign_id")
+        days.join(late, "campaign_id")
         .filter((day < F.col("start_date")) | (day > F.col("end_date")))
         .select("campaign_id", "metric_date", "start_date", "end_date", "metric_rows", "first_metric_id")
     )

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import money, ratio, round_to
-from promolens.operators.lifecycle import RiskLabels, churn_signals, tenure_ltv
-from promolens.operators.ranking import concentration, top_k_ranked
+from promolens.operators.lifecycle import RiskLabels, churn_signals, latest_campaign_views, tenure_ltv
+from promolens.operators.ranking import concentration, contenders, top_k_ranked
 from promolens.operators.rollup import delivered, kpi_rollup
 from promolens.sources.tables import CampaignTables
 
@@ -20,9 +20,15 @@ def q05_ltv_by_plan(t: CampaignTables, as_of: dt.date) -> DataFrame:
     return per_plan.orderBy(F.desc("estimated_ltv_usd"), "plan_type")
 
 
-def q06_churn_risk(t: CampaignTables, as_of: dt.date) -> DataFrame:
-    """Churn risk of active creators from their latest campaign, in no particular order."""
-    return churn_signals(t.latest_views, as_of).select(
+def q06_churn_risk(t: CampaignTables, as_of: dt.date, as_row: bool = False) -> DataFrame:
+    """Churn risk of active creators from their latest campaign, in no particular order.
+
+    The latest start and the latest id are taken each for itself; with ``as_row`` both are those of one campaign.
+    """
+    views = t.latest_views
+    if as_row:
+        views = latest_campaign_views(t.creators, t.campaigns, t.campaign_daily_metrics, as_row=True)
+    return churn_signals(views, as_of).select(
         "creator_id",
         "name",
         "plan_type",
@@ -56,9 +62,7 @@ def q11_top_creators_by_spend(t: CampaignTables, k: int = 10) -> DataFrame:
     placed = delivered(t.facts).join(categories, "video_id")
     # A creator has at most one row per category from here on.
     per_pair = kpi_rollup(placed, "creator_id", "category")
-    # Creators are only known to exist until k pairs are left, which get name and plan.
-    pairs = per_pair.join(t.creators.select("creator_id"), "creator_id", "left_semi")
-    lifetime = pairs.select(
+    lifetime = per_pair.select(
         "creator_id",
         F.col("category").alias("primary_category"),
         F.col("campaigns").alias("total_campaigns"),
@@ -68,7 +72,9 @@ def q11_top_creators_by_spend(t: CampaignTables, k: int = 10) -> DataFrame:
         round_to(ratio(F.col("spend_usd"), F.col("campaigns")), 2).alias("avg_campaign_value_usd"),
     )
     ties = ("creator_id", "primary_category")
-    ranked = top_k_ranked(lifetime, k, "lifetime_spend_usd", ties, "spend_rank")
+    # Creators are only known to exist until k pairs are left, which get name and plan.
+    known = contenders(lifetime, k, "lifetime_spend_usd", [("creator_id", t.creators)])
+    ranked = top_k_ranked(known, k, "lifetime_spend_usd", ties, "spend_rank")
     named = ranked.join(t.creators.select("creator_id", "name", "plan_type"), "creator_id")
     return named.select("creator_id", "name", "plan_type", *ranked.columns[1:]).orderBy("spend_rank", *ties)
 

@@ -6,10 +6,14 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from promolens import plans
 from promolens.operators import quality
-from promolens.schemas import SPECS
+from promolens.operators.keys import one_row_per_key
+from promolens.schemas import METRICS, SPECS
+from promolens.sources import batches
+from promolens.sources.scratch import scratch_folder
 from promolens.sources.star import HOME_BRAND, UPGRADED_PLANS, StarTables
 from promolens.sources.tables import CampaignTables
 
@@ -33,6 +37,21 @@ def _ingest(name: str) -> Query:
     return _on(report, name, dated=name == _ME)
 
 
+def _one_row(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily rows with one row for each metric id, which line items repeat."""
+    return one_row_per_key(StarTables(spark, folder).campaign_daily_metrics(dated=False), METRICS.primary_key)
+
+
+def _by_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Campaign totals kept up by four loads, one of them made twice, the first two folded to one."""
+    metrics = StarTables(spark, folder).campaign_daily_metrics(dated=False)
+    loads, folded = scratch_folder(spark, "totals"), scratch_folder(spark, "totals")
+    for batch in (0, 1, 2, 1, 3):
+        batches.add_batch(metrics.where(F.pmod(F.col("metric_id"), F.lit(4)) == batch), loads, f"load-{batch}")
+    batches.fold_batches(spark, loads, folded, ["load-0", "load-1"], "past")
+    return batches.batch_totals(spark, folded).drop("vtr_sum")
+
+
 _CR, _VI, _CA, _ME = "creators", "videos", "campaigns", "campaign_daily_metrics"
 _BE, _EV = "competitor_benchmarks", "creator_events"
 
@@ -48,6 +67,7 @@ REPORTS: dict[str, Query] = {
     "q06a_churn_risk_placeholder": _on(
         plans.q06a_churn_risk_placeholder, _CR, _CA, _ME, dated=True, as_of=CHURN_AS_OF
     ),
+    "q06_latest_as_row": _on(plans.q06_churn_risk, _CR, _CA, _ME, dated=True, as_of=CHURN_AS_OF, as_row=True),
     "q07_monthly_growth": _on(plans.q07_monthly_growth, _CR, _CA),
     "q08_campaign_type_effectiveness": _on(plans.q08_campaign_type_effectiveness, _CA, _ME),
     "q08_gs": _on(plans.q08_gs, _CA, _ME),
@@ -77,4 +97,6 @@ CHECKS: dict[str, Query] = {
     "dq_metric_in_flight": _on(quality.dq_metric_in_flight, _CA, _ME, dated=True),
 }
 
-QUERIES: dict[str, Query] = {**REPORTS, **INGEST, **CHECKS}
+KEPT: dict[str, Query] = {"one_row_per_metric_id": _one_row, "campaign_totals_by_batch": _by_batch}
+
+QUERIES: dict[str, Query] = {**REPORTS, **INGEST, **CHECKS, **KEPT}

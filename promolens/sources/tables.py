@@ -6,11 +6,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from promolens.operators.keys import one_row_per_key
 from promolens.operators.lifecycle import latest_campaign_views
 from promolens.operators.rollup import campaign_facts, campaign_totals
 from promolens.schemas import SPECS
 from promolens.sources.files import read_table
 
+# Tables whose keys reports count.
+COUNTED = ("creators", "videos", "campaigns")
+
 
 @dataclass(frozen=True)
 class CampaignTables:
@@ -31,9 +35,19 @@ class CampaignTables:
     stored_latest_views: DataFrame | None = None
 
     @classmethod
-    def load(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> CampaignTables:
-        """Tables stored as ``<root>/<table name>``."""
-        return cls(**{name: read_table(spark, name, f"{root}/{name}", fmt) for name in SPECS})
+    def load(
+        cls, spark: SparkSession, root: str, fmt: str = "parquet", *, unique_keys: bool = False
+    ) -> CampaignTables:
+        """Tables stored as ``<root>/<table name>``.
+
+        Reports count distinct creators, videos and campaigns. So of rows with the same key one is read, the
+        largest (``one_row_per_key``), and none without a key, unless ``unique_keys`` promises that there are no such rows.
+        """
+        found = {name: read_table(spark, name, f"{root}/{name}", fmt) for name in SPECS}
+        if not unique_keys:
+            for name in COUNTED:
+                found[name] = one_row_per_key(found[name], SPECS[name].primary_key)
+        return cls(**found)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> CampaignTables:
