@@ -1,9 +1,9 @@
 """Collocations: phrases whose words occur together far more often than their parts do.
 
 Phrases are counted length by length. Each task keeps a HAT-trie: a shallow trie over word ids
-whose leaves are hash containers of phrase ends. A container that grows too large bursts into a
-node with one smaller container for each next word. When the trie is full, its largest subtrees leave it
-whole, as runs sorted by phrase; Spark shuffles the runs by prefix and merges them there.
+whose leaves are hash containers of phrase ends. When a container has grown large, the next words with many
+phrases there burst out of it into nodes of their own. When the trie is full, its largest subtrees leave it
+whole, as runs sorted by prefix; Spark shuffles the runs by prefix and merges them there.
 
 A phrase is as frequent as its parts at most. So only phrases are counted whose first and last
 parts, one word shorter, may be frequent enough; a bit array of bounded size says which may be.
@@ -12,8 +12,9 @@ A full array lets more phrases pass and changes no result.
 
 from __future__ import annotations
 
-import bisect
+import itertools
 import string
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,14 +24,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from promolens.llm.common import chunks, salted_join, store
+from promolens.llm.common import store
 
 #: Least occurrences of a phrase, longest phrase in words, phrases returned for each language.
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 #: A phrase goes if a longer one that holds it has at least so many hundredths of its occurrences.
 COVERED_PERCENT = 50
 #: A container with more phrases bursts; a trie with more phrases or words gives subtrees away.
-BURST, MOST_PHRASES, MOST_WORDS = 4096, 400_000, 400_000
+BURST, MOST_PHRASES, MOST_WORDS = 4096, 250_000, 300_000
+#: Bytes of text that a task works on at a time.
+ROUND_BYTES = 2_000_000
 #: Bits for each frequent phrase, and the most bits in all (16 MB).
 BITS_EACH, MOST_BITS = 12, 1 << 27
 #: Places that the phrases with one prefix are dealt to, by their last word.
@@ -38,110 +41,112 @@ SPREAD = 64
 #: Places of the first and the second round of the top lists.
 ROUNDS = (4096, 64)
 
-_ID_BITS, _ID_MASK = 32, (1 << 32) - 1
+#: Ids stay below 2^21: a round adds at most half of its bytes to the words of a task.
+_ID_BITS, _ID_MASK = 21, (1 << 21) - 1
 _BREAKS = b".,;:!?\n\v\f\r"
 _RUN = "lang string, phrase string, part long, n long"
 
 
-class _Burst(dict):
-    """A node: the containers of the next words."""
-
-
 class Trie:
-    """Counts of phrases of one length. A phrase end is a whole number with a word id in every 32 bits."""
+    """Counts of phrases of one length. A phrase end is a whole number with a word id in every 21 bits.
+
+    ``light`` is the node's hash container. A next word with many phrases there bursts out of it
+    into a node of its own in ``heavy``.
+    """
 
     def __init__(self, words: int, burst: int = BURST) -> None:
-        self.words, self.burst, self.size = words, burst, 0
-        self.root = _Burst()
-        self.sizes: dict[int, int] = {}
-
-    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
-        """Adds phrases, one in each row of ``ids``, sorted and each but once."""
-        edges = np.flatnonzero(np.diff(ids[:, 0])) + 1
-        starts, firsts = [0, *edges.tolist()], ids[np.concatenate([[0], edges]), 0].tolist()
-        ends, counts = _packed(ids[:, 1:]), counts.tolist()
-        for first, start, end in zip(firsts, starts, [*starts[1:], len(ends)], strict=True):
-            grown = _put(self.root, first, ends[start:end], counts[start:end], self.words - 1, self.burst)
-            self.sizes[first] = self.sizes.get(first, 0) + grown
-            self.size += grown
+        self.words, self.burst = words, burst
+        self.light: Counter[int] = Counter()
+        self.heavy: dict[int, Trie] = {}
+        self.seen = 16 * burst
+
+    def size(self) -> int:
+        return len(self.light) + sum(child.size() for child in self.heavy.values())
+
+    def add(self, ends: np.ndarray) -> None:
+        """Counts phrase ends, as often as they are there."""
+        shift = _ID_BITS * (self.words - 1)
+        if self.heavy:
+            following = ends >> shift
+            apart = np.isin(following, np.array(list(self.heavy), ends.dtype))
+            some, following = ends[apart], following[apart]
+            order = np.argsort(following, kind="stable")
+            edges = np.flatnonzero(np.diff(following[order])) + 1
+            for rows in np.split(order, edges) if len(order) else ():
+                self.heavy[int(following[rows[0]])].add(some[rows] & ((1 << shift) - 1))
+            ends = ends[~apart]
+        if self.words > 1:
+            self.light.update(ends.tolist())
+        else:  # as ids are dense, an array counts them faster
+            counts = np.bincount(ends) if len(ends) else ends
+            held = np.flatnonzero(counts)
+            light = self.light
+            for end, n in zip(held.tolist(), counts[held].tolist(), strict=True):
+                light[end] = light.get(end, 0) + n
+        if self.words > 1 and len(self.light) > self.seen:
+            self._burst(shift)
+            self.seen = 2 * len(self.light) + 16 * self.burst
+
+    def _burst(self, shift: int) -> None:
+        kind = np.int64 if self.words <= 3 else object
+        ends, counts = np.array(list(self.light), kind), np.array(list(self.light.values()))
+        following = ends >> shift
+        words, sizes = np.unique(following, return_counts=True)
+        for word in words[sizes > self.burst].tolist():
+            out = following == word
+            child = self.heavy[word] = Trie(self.words - 1, self.burst)
+            child.light.update(dict(zip((ends[out] & ((1 << shift) - 1)).tolist(), counts[out].tolist(), strict=True)))
+            ends, counts, following = ends[~out], counts[~out], following[~out]
+        self.light = Counter(dict(zip(ends.tolist(), counts.tolist(), strict=True)))
 
     def take(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Removes the largest subtrees until ``most`` phrases are left: (ids, counts) of them."""
-        open_words = self.words - 1
-        for first in sorted(self.root, key=self.sizes.get, reverse=True):
-            if self.size <= most:
+        sizes = {word: child.size() for word, child in self.heavy.items()} | {None: len(self.light)}
+        left = sum(sizes.values())
+        for word in sorted(sizes, key=sizes.get, reverse=True):
+            if left <= most:
                 return
-            ends: list[int] = []
-            counts: list[int] = []
-            _collect(self.root.pop(first), 0, open_words, ends, counts)
-            self.size -= self.sizes.pop(first)
-            packed = np.array(ends, np.int64 if open_words <= 2 else object)
-            ids = np.empty((len(ends), self.words), np.int64)
-            ids[:, 0] = first
-            for place in range(1, self.words):
-                ids[:, place] = (packed >> _ID_BITS * (open_words - place)) & _ID_MASK
-            yield ids, np.array(counts, np.int64)
-
-
-def _put(parent: _Burst, word: int, ends: list[int], counts: list[int], words: int, burst: int) -> int:
-    """Adds phrase ends of ``words`` words, in order, below a word of a node; gives how many are new."""
-    node = parent.get(word)
-    if node is None:
-        node = parent[word] = {}
-    if isinstance(node, _Burst):
-        shift, start, grown = _ID_BITS * (words - 1), 0, 0
-        while start < len(ends):
-            following = ends[start] >> shift
-            end = bisect.bisect_left(ends, following + 1 << shift, start)
-            below = [e & ((1 << shift) - 1) for e in ends[start:end]]
-            grown += _put(node, following, below, counts[start:end], words - 1, burst)
-            start = end
-        return grown
-    before = len(node)
-    for end, n in zip(ends, counts, strict=True):
-        node[end] = node.get(end, 0) + n
-    grown = len(node) - before
-    if len(node) > burst and words > 1:
-        parent[word], shift = _Burst(), _ID_BITS * (words - 1)
-        for end, n in node.items():
-            parent[word].setdefault(end >> shift, {})[end & ((1 << shift) - 1)] = n
-    return grown
-
-
-def _collect(node: dict, head: int, words: int, ends: list[int], counts: list[int]) -> None:
-    """Phrase ends below a node and their counts; ``words`` are still open there."""
-    if isinstance(node, _Burst):
-        for word, child in node.items():
-            _collect(child, head << _ID_BITS | word, words - 1, ends, counts)
-    else:
-        high = head << _ID_BITS * words
-        ends.extend(high | end for end in node)
-        counts.extend(node.values())
-
-
-def _packed(ends: np.ndarray) -> list[int]:
-    if ends.shape[1] == 0:
-        return [0] * len(ends)
-    packed = ends[:, 0].astype(object) if ends.shape[1] > 2 else ends[:, 0]
-    for place in range(1, ends.shape[1]):
-        packed = packed << _ID_BITS | ends[:, place]
-    return packed.tolist()
-
-
-def split_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts in order, A-Z lower-cased, and the number of the piece that each is in."""
-    table = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
-    table = table.translate(bytes.maketrans(_BREAKS + b"\t", b"\n" * len(_BREAKS) + b" "))
-    raw = np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass").translate(table), np.uint8)
-    blank = (raw == 0x20) | (raw == 0x0A)
-    edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    pieces = np.cumsum(raw == 0x0A)[starts] if len(starts) else np.empty(0, np.int64)
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-    letters = raw[~blank]
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
-    ), pieces
+            left -= sizes[word]
+            if word is None:
+                ends, counts, self.light, self.seen = list(self.light), list(self.light.values()), Counter(), 16 * self.burst
+            else:
+                ends, counts = [], []
+                self.heavy.pop(word).collect(word, ends, counts)
+            if ends:
+                yield _unpacked(ends, self.words), np.array(counts, np.int64)
+
+    def collect(self, head: int, ends: list[int], counts: list[int]) -> None:
+        """The phrase ends below the node, behind those that lead to it, and their counts."""
+        high = head << _ID_BITS * self.words
+        ends.extend(high | end for end in self.light)
+        counts.extend(self.light.values())
+        for word, child in self.heavy.items():
+            child.collect(head << _ID_BITS | word, ends, counts)
+
+
+def _packed(ids: np.ndarray) -> np.ndarray:
+    packed = ids[:, 0].astype(object) if ids.shape[1] > 3 else ids[:, 0]
+    for place in range(1, ids.shape[1]):
+        packed = packed << _ID_BITS | ids[:, place]
+    return packed
+
+
+def _unpacked(ends: list[int], words: int) -> np.ndarray:
+    packed = np.array(ends, np.int64 if words <= 3 else object)
+    ids = np.empty((len(ends), words), np.int64)
+    for place in range(words):
+        ids[:, place] = (packed >> _ID_BITS * (words - 1 - place)) & _ID_MASK
+    return ids
+
+
+_LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
+_CLEAN = _LOWER.translate(bytes.maketrans(_BREAKS + b"\t", b"\n" * len(_BREAKS) + b" "))
+
+
+def split_words(texts: list[str]) -> list[bytes]:
+    """The words of all texts in order, A-Z lower-cased, and a line feed between two pieces."""
+    raw = "\n".join(texts).encode("utf-8", "surrogatepass").translate(_CLEAN)
+    return [word for word in raw.replace(b"\n", b" \n ").split(b" ") if word]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -158,8 +163,9 @@ def _hashed(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def _word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word, xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass")))
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    seed = xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass"))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words, itertools.repeat(seed)), np.uint64, len(words))
 
 
 def _may_be(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -177,25 +183,45 @@ def _places(hashes: np.ndarray, slots: int) -> list[tuple[np.ndarray, np.ndarray
     return found
 
 
+class _Ids(dict):
+    """Word to id, in the order in which words are first asked for; the break between pieces is 0."""
+
+    def __init__(self, words: _Words, lang: str) -> None:
+        super().__init__({b"\n": 0})
+        self.words, self.lang = words, lang
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = len(self.words.words)
+        self.words.words.append(word)
+        self.words.langs.append(self.lang)
+        return found
+
+
 class _Words:
     """The words of a task's trie: an id for each (language, word), and their hashes."""
 
-    def __init__(self) -> None:
-        self.ids: dict[tuple[str, bytes], int] = {}
-        self.hashes = np.empty(0, np.uint64)
-
-    def of(self, lang: str, words: pa.Array) -> np.ndarray:
-        coded = words.dictionary_encode()
-        new, ids = [], []
-        for word in coded.dictionary.to_pylist():
-            key = (lang, word)
-            at = self.ids.get(key)
-            if at is None:
-                at = self.ids[key] = len(self.ids)
-                new.append(_word_hash(lang, word))
-            ids.append(at)
-        self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
-        return np.array(ids, np.int64)[np.asarray(coded.indices)]
+    def __init__(self, allowed: np.ndarray | None) -> None:
+        self.allowed = allowed
+        self.ids: dict[str, _Ids] = {}
+        self.words, self.langs = [b"\n"], [""]
+        self.hashes = np.zeros(1, np.uint64)
+        self.held = np.zeros(1, bool)
+
+    def of(self, lang: str, words: list[bytes]) -> np.ndarray:
+        """The ids of the words in order, -1 for breaks and for words that cannot be frequent enough."""
+        ids = self.ids.get(lang)
+        if ids is None:
+            ids = self.ids[lang] = _Ids(self, lang)
+        found = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+        hashes = _word_hashes(lang, self.words[len(self.hashes) :])
+        self.hashes = np.concatenate([self.hashes, hashes])
+        held = np.ones(len(hashes), bool) if self.allowed is None else _may_be(self.allowed, _mixed(hashes))
+        self.held = np.concatenate([self.held, held])
+        found[~self.held[found]] = -1
+        return found
+
+    def size(self) -> int:
+        return len(self.words)
 
 
 def _counted(length: int, bits, most_phrases: int, most_words: int, burst: int):
@@ -205,29 +231,27 @@ def _counted(length: int, bits, most_phrases: int, most_words: int, burst: int):
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = None if bits is None else bits.value
-        trie, words = Trie(length, burst), _Words()
-        totals: dict[str, int] = {}
-        for batch in batches:
-            frame = pa.table(batch)
-            for lang in pc.unique(frame["lang"]).to_pylist():
-                texts = frame.filter(pc.equal(frame["lang"], lang))["text"].to_pylist()
-                for part in chunks(texts):
-                    found, pieces = split_words(texts[part])
-                    totals[lang] = totals.get(lang, 0) + len(found)
-                    if len(found) < length:
-                        continue
-                    ids = words.of(lang, found)
-                    starts = np.flatnonzero(pieces[: len(ids) - length + 1] == pieces[length - 1 :])
-                    if allowed is not None:
-                        starts = starts[_frequent_parts(ids, starts, length, words.hashes, allowed)]
-                    if len(starts):
-                        trie.add(*_distinct(ids[starts[:, None] + np.arange(length)]))
-                    if len(words.ids) > most_words:  # ids begin anew, so nothing may stay
-                        yield from _emitted(trie.take(0), words)
-                        words = _Words()
-                    elif trie.size > most_phrases:
-                        yield from _emitted(trie.take(most_phrases // 2), words)
+        of_words, of_parts = (None, None) if not bits else (bits[0].value, bits[-1].value)
+        trie, words = Trie(length, burst), _Words(of_words)
+        totals: Counter[str] = Counter()
+        for lang, texts in _by_language(batches):
+            found = split_words(texts)
+            ids = words.of(lang, found)
+            if length == 1:
+                totals[lang] += len(found) - found.count(b"\n")
+            starts = np.flatnonzero(ids >= 0)
+            for place in range(1, length):
+                starts = starts[: np.searchsorted(starts, len(ids) - place)]
+                starts = starts[ids[starts + place] >= 0]
+            if length > 2:
+                starts = starts[_frequent_parts(ids, starts, length, words.hashes, of_parts)]
+            if len(starts):
+                trie.add(_packed(np.stack([ids[starts + i] for i in range(length)], axis=1)))
+            if words.size() > most_words:  # ids begin anew, so nothing may stay
+                yield from _emitted(trie.take(0), words)
+                trie, words = Trie(length, burst), _Words(of_words)
+            elif trie.size() > most_phrases:
+                yield from _emitted(trie.take(most_phrases // 2), words)
         yield from _emitted(trie.take(0), words)
         if length == 1 and totals:
             yield _batch(list(totals), [None] * len(totals), [0] * len(totals), list(totals.values()))
@@ -235,27 +259,37 @@ def _counted(length: int, bits, most_phrases: int, most_words: int, burst: int):
     return task
 
 
-def _distinct(phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row once, in order, and how often it occurs."""
-    phrases = phrases[np.lexsort(phrases.T[::-1])]
-    fresh = np.concatenate([[True], (phrases[1:] != phrases[:-1]).any(axis=1)])
-    starts = np.flatnonzero(fresh)
-    return phrases[starts], np.diff(np.concatenate([starts, [len(phrases)]]))
+def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """Some texts of a language at a time, about ``ROUND_BYTES`` in all languages."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy())
+        first = 0
+        while first < batch.num_rows:
+            past = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, past + ROUND_BYTES, "right")))
+            some = pa.table(batch.slice(first, last - first))
+            for lang in pc.unique(some["lang"]).to_pylist():
+                yield lang, some.filter(pc.equal(some["lang"], lang))["text"].to_pylist()
+            first = last
 
 
 def _frequent_parts(ids, starts, length, hashes, bits) -> np.ndarray:
     """Whether the first and the last ``length - 1`` words at each start may be frequent."""
+    if not len(starts):
+        return np.zeros(0, bool)
     part = length - 1
     spans = np.lib.stride_tricks.sliding_window_view(ids, part)
-    needed = np.union1d(starts, starts + 1)
+    needed = np.zeros(len(spans), bool)
+    needed[starts] = needed[starts + 1] = True
+    needed = np.flatnonzero(needed)
     fits = np.zeros(len(spans), bool)
     fits[needed] = _may_be(bits, _hashed(spans[needed], hashes))
     return fits[starts] & fits[starts + 1]
 
 
 def _emitted(subtrees, words: _Words) -> Iterator[pa.RecordBatch]:
-    """Runs sorted by phrase, of subtrees put together to some thousand rows."""
-    langs, texts = None, None
+    """Runs sorted by prefix, of subtrees put together to some thousand rows."""
+    langs = texts = hashes = None
     held: list[tuple[np.ndarray, np.ndarray]] = []
     rows = 0
 
@@ -264,16 +298,18 @@ def _emitted(subtrees, words: _Words) -> Iterator[pa.RecordBatch]:
         counts = np.concatenate([n for _, n in held])
         parts = [texts.take(pa.array(ids[:, place])) for place in range(ids.shape[1])]
         phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
-        last = words.hashes[ids[:, -1]] % np.uint64(SPREAD)
-        part = _mixed(_hashed(ids[:, :-1], words.hashes) + last).view(np.int64)
-        order = pc.sort_indices(phrase)
+        last = hashes[ids[:, -1]]
+        if ids.shape[1] > 1:
+            last = _hashed(ids[:, :-1], hashes) + last % np.uint64(SPREAD)
+        part = _mixed(last).view(np.int64)
+        order = pa.array(np.argsort(part, kind="stable"))
         lang = langs.take(pa.array(ids[:, 0]))
         return _batch(*(pa.array(c).take(order) for c in (lang, phrase.cast(pa.large_string()), part, counts)))
 
     for ids, counts in subtrees:
         if langs is None:
-            langs = pa.array([lang for lang, _ in words.ids], pa.string())
-            texts = pa.array([word for _, word in words.ids], pa.large_binary())
+            langs = pa.array(words.langs, pa.string()).dictionary_encode()
+            texts, hashes = pa.array(words.words, pa.large_binary()), words.hashes
         held.append((ids, counts))
         rows += len(ids)
         if rows >= 20_000:
@@ -295,13 +331,12 @@ def _bit_array(phrases: DataFrame, count: int):
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = np.zeros(len(batch), np.uint64)
-            for i, (lang, phrase) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
-                parts = phrase.encode("utf-8", "surrogatepass").split(b" ")
-                own = np.array([_word_hash(lang, w) for w in parts], np.uint64)
-                hashes[i] = _hashed(np.arange(len(own))[None, :], own)[0]
-            for slot, mask in _places(hashes, slots):
-                yield pa.record_batch([pa.array(slot), pa.array(mask.view(np.int64))], ["slot", "mask"])
+            for lang in pc.unique(batch["lang"]).to_pylist():
+                own = batch.filter(pc.equal(batch["lang"], lang))["phrase"].cast(pa.binary()).to_pylist()
+                words = [word for phrase in own for word in phrase.split(b" ")]  # as many in each phrase
+                at = np.arange(len(words)).reshape(len(own), -1)
+                for slot, mask in _places(_hashed(at, _word_hashes(lang, words)), slots):
+                    yield pa.record_batch([pa.array(slot), pa.array(mask.view(np.int64))], ["slot", "mask"])
 
     marked = phrases.select("lang", "phrase").mapInArrow(places, "slot long, mask long")
     found = marked.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
@@ -329,7 +364,7 @@ def phrase_counts(
     whole = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text")
     )
-    lengths, totals, bits = [], None, None
+    lengths, totals, bits = [], None, []
     for length in range(1, max_words + 1):
         runs = whole.mapInArrow(_counted(length, bits, most_phrases, most_words, burst), _RUN)
         merged = runs.repartition("lang", "part").groupBy("lang", "part", "phrase").agg(F.sum("n").alias("n"))
@@ -339,10 +374,10 @@ def phrase_counts(
             totals = found.where("phrase IS NULL").select("lang", "n")
         found = found.where("phrase IS NOT NULL")
         lengths.append(found)
-        if bits is not None:
-            bits.unpersist()
         if length < max_words:
-            bits = _bit_array(found, found.count())
+            bits.append(_bit_array(found, found.count()))
+    for array in bits:
+        array.unpersist()
     counts = lengths[0]
     for longer in lengths[1:]:
         counts = counts.unionAll(longer)
@@ -388,7 +423,7 @@ def collocations(
     )
     for part, count in (("first", "l"), ("rest", "r")):
         known = counts.select("lang", F.col("phrase").alias(part), F.col("n").alias(count))
-        cuts = salted_join(cuts, known, ["lang", part], F.xxhash64("phrase", "k"))
+        cuts = cuts.join(known, ["lang", part])  # regrouped below, so a part of very many phrases may be split
     best = (
         cuts.withColumn("score", _score(F.col("a"), F.col("l"), F.col("r")))
         .groupBy("lang", "phrase")

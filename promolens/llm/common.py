@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import string
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from promolens.sources.scratch import ensure_checkpoint_dir, store  # noqa: F401
+
 #: One round of work inside a Python task covers about so many characters, whatever the batch holds.
 CHUNK_CHARS = 2_000_000
 #: Places that the rows of one key are dealt to.
@@ -42,24 +43,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The shared folder that the session names; an own one only where none is set, as in tests."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(shared or "/tmp/promolens-checkpoints")
-
-
-def store(df: DataFrame) -> DataFrame:
-    """The frame, written as Parquet to a new folder in the checkpoint folder and read from there."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
 def list_chunks(column: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
     """Runs of rows of a list column with about ``most`` values, one row at least.
 
