@@ -5,13 +5,15 @@ over a sliding window, rise steeply where the main text begins (surge) and fall
 ends (dive); the text from the first surge to the last dive is kept, without the links of a stretch
 that is mostly links. What markup itself names as menu, header, footer, sidebar, notice, advert,
 form, script, style or comment counts as no text, unless it holds the article. Surge and dive are located on every
-page. An element that names the article corrects them where it holds at least half of the text they
-enclose: they move to its first and last line, so that a short one stays in and its neighbours do not.
+page, and move to the first and last line of the elements that hold the dense text, whatever these are called: so
+short lines at either end stay in and neighbours do not. A heading right above joins the text; only lines that are links
+for the most part stay out. Where an element names the article, what windows reach beyond it goes again.
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -35,7 +37,9 @@ TO_END = frozenset({"script", "style", "textarea", "title"})
 #: Those that are not even a gap in the text around them.
 HIDDEN = frozenset({"script", "style", "noscript", "template"})
 #: Elements around the main text.
-CHROME = frozenset({"nav", "footer", "aside", "form", "dialog", "menu", "select", "button", "head", "label"})
+CHROME = frozenset({"nav", "footer", "aside", "form", "dialog", "menu", "select", "head", "label"})
+#: Text in these is a line's only beside other text; they do not end it.
+CONTROLS = frozenset({"button"})
 #: Those that may be around all of a page.
 DOUBTFUL = frozenset({"form"})
 #: Words in class, id or role that say the same of any other element, if its whole name is made of them and of
@@ -59,6 +63,14 @@ OTHERS = frozenset(
 )
 ARTICLE = frozenset({"article", "main"})
 ARTICLE_BODY = "articlebody"
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
+#: Blocks that belong to the text of the element around them; all others hold a text of their own.
+TEXT_BLOCKS = HEADINGS | frozenset(
+    """address blockquote caption dd details dl dt figcaption figure hgroup li ol p pre summary table tbody td tfoot
+    th thead tr ul""".split()
+)
+#: Lines between a heading and the text below it, such as a byline and a date.
+BYLINES = 2
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -113,6 +125,8 @@ class Chrome:
 
 class Line(NamedTuple):
     text: str
+    home: int  # the innermost element around it that holds a text of its own, 0: the page
+    heading: bool
     article: int  # the outermost element around it that names the article, from 1; 0: none
     chrome: int  # the innermost chrome around it, -1: none
     linked: int  # how many of its characters are in links
@@ -123,28 +137,32 @@ def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
     lines: list[Line] = []
     parts: dict[int, list[str]] = {}  # of the line, for each chrome
     linked: Counter[int] = Counter()  # characters of them in links
-    open_: list[tuple[str, int, bool]] = []  # tag, chrome around it, article
+    pressed: Counter[int] = Counter()  # characters of them in buttons
+    open_: list[tuple[str, int, bool, int]] = []  # tag, chrome around it, article, home around it
     depth: Counter[str] = Counter()  # how many of a tag are open
     found: list[Chrome] = []
     endless: set[str] = set()  # tags that have no end tag any more
     chrome, article, articles = -1, 0, 0
+    home, homes = 0, 0
     at, size = 0, len(page)
 
     def close() -> str:
-        nonlocal chrome, article
-        tag, chrome, a = open_.pop()
+        nonlocal chrome, article, home
+        tag, chrome, a, home = open_.pop()
         depth[tag] -= 1
         article -= a
         return tag
 
     def end_line() -> None:
         # references are decoded per line: "&amp;" next to "lt;" in the next text stays two texts
+        heading = any(depth[h] for h in HEADINGS)
         for c, texts in parts.items():
             text = " ".join("".join(texts).split())
-            if text:
-                lines.append(Line(text, articles if article else 0, c, min(linked[c], len(text))))
+            if text and pressed[c] < sum(len(t.strip()) for t in texts):
+                lines.append(Line(text, home, heading, articles if article else 0, c, min(linked[c], len(text))))
         parts.clear()
         linked.clear()
+        pressed.clear()
 
     while at < size:
         m = TOKEN.match(page, at) or LOOSE.match(page, at)
@@ -155,11 +173,13 @@ def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
                 parts.setdefault(chrome, []).append(text)
                 if depth["a"]:
                     linked[chrome] += len(text.strip())
+                if depth["button"]:
+                    pressed[chrome] += len(text.strip())
             continue
         if m["tag"] is None:
             continue
         tag = m["tag"].lower()
-        if tag not in INLINE and tag not in HIDDEN:
+        if tag not in INLINE and tag not in HIDDEN and tag not in CONTROLS:
             end_line()
         elif tag == "br":
             parts.setdefault(chrome, []).append(" ")
@@ -198,8 +218,11 @@ def lines_of(page: str) -> tuple[list[Line], list[Chrome]]:
             # these close the one before them where its end tag was left out
             if open_ and open_[-1][0] == tag:
                 close()
-        open_.append((tag, chrome, is_article))
+        open_.append((tag, chrome, is_article, home))
         depth[tag] += 1
+        if tag not in INLINE and tag not in TEXT_BLOCKS and tag not in ("html", "body", "button"):
+            homes += 1
+            home = homes
         if certain or says_chrome or tag in DOUBTFUL:
             around = found[chrome] if chrome >= 0 else Chrome(-1, True, False)
             others = around.others or bool(marks & OTHERS)
@@ -244,33 +267,35 @@ def shown(lines: Sequence[Line], found: Sequence[Chrome], window: int = WINDOW,
         return [kept]
     rest = sum(n for c, n in size.items() if c in kept)
     more = set(kept)
+    own: dict[int, list[int]] = {}  # the lengths of the lines right in each chrome
+    for line in lines:
+        own.setdefault(line.chrome, []).append(len(line.text))
     for c, n in size.items():
         if c not in kept and n > rest and not found[c].others:
-            lengths = [len(x.text) for x in lines if x.chrome == c]
+            lengths = own[c]
             if max(sum(lengths[i : i + window]) for i in range(len(lengths))) >= dense:
                 keep(c, more)
                 rest = n
     return [kept, more] if len(more) > len(kept) else [kept]
 
 
-def dense_lines(
-    lengths: np.ndarray, linked: np.ndarray, weights: np.ndarray, window: int = WINDOW, dense: int = DENSE
-) -> tuple[np.ndarray, np.ndarray]:
-    """For each line whether it is between the first surge and the last dive and no link in a gap of links, and
-    whether it is in the stretch of the greatest weight without such a gap. All lines are both if no window is dense."""
+def dense_lines(lengths: np.ndarray, linked: np.ndarray, window: int = WINDOW, dense: int = DENSE) -> np.ndarray:
+    """For each line whether it is between the first surge and the last dive and no link in a gap of links.
+
+    All lines are if no window is dense.
+    """
     n = len(lengths)
     total = np.concatenate([[0], np.cumsum(lengths)])
     ends = np.minimum(np.arange(n) + window, n)
     sums = total[ends] - total[:n]  # of the window that begins at each line
     thick = sums >= dense
     if not thick.any():
-        return np.ones(n, np.bool_), np.ones(n, np.bool_)
+        return np.ones(n, np.bool_)
     # a surge begins a run of dense windows, its dive is the last line before the run's end that any window covers
     steps = np.diff(np.concatenate([[0], thick.astype(np.int8), [0]]))
     surges, dives = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
     stops = np.minimum(dives + window - 1, n)
     links = np.concatenate([[0], np.cumsum(linked)])
-    heavy = np.concatenate([[0], np.cumsum(weights)])
 
     def in_links(first: np.ndarray, last: np.ndarray) -> np.ndarray:
         return 2 * (links[last] - links[first]) > total[last] - total[first]
@@ -281,36 +306,60 @@ def dense_lines(
     # a short stretch in the text does not end it
     broken = np.flatnonzero(in_links(stops[:-1], np.maximum(surges[1:], stops[:-1])))
     firsts, lasts = surges[np.concatenate([[0], broken + 1])], stops[np.concatenate([broken, [len(stops) - 1]])]
-    keep, best = np.zeros(n, np.bool_), np.zeros(n, np.bool_)
+    keep = np.zeros(n, np.bool_)
     keep[firsts[0] : lasts[-1]] = True
     for first, last in zip(lasts[:-1], firsts[1:]):
         keep[first:last] = 2 * linked[first:last] <= lengths[first:last]
-    most = int(np.argmax(heavy[lasts] - heavy[firsts]))
-    best[firsts[most] : lasts[most]] = True
-    return keep, best
-
-
-def main_lines(lengths: np.ndarray, linked: np.ndarray, articles: np.ndarray) -> np.ndarray:
-    """For each line whether it is main text, from its length, how much of it is linked and its article (0: none)."""
-    named = articles > 0
-    # text of an article counts twice between stretches, so that a long text elsewhere does not outdo it
-    keep, best = dense_lines(lengths, linked, lengths * (1 + named))
-    if 2 * lengths[best & named].sum() >= lengths[best].sum():
-        # the bounds move to those of the articles between them; of what is between two articles nothing stays
-        return named & np.isin(articles, articles[keep])
     return keep
 
 
+def joined(keep: np.ndarray, lines: Sequence[Line], window: int = WINDOW, dense: int = DENSE) -> np.ndarray:
+    """``keep`` and the lines that belong to it: those in the elements that hold its dense text, and headings right above.
+
+    Neither may be a link for the most part. Lists, bylines and short lines at either end stay in by that, however many.
+    """
+    text: Counter[int] = Counter()
+    for line, k in zip(lines, keep, strict=True):
+        if k and 2 * line.linked <= len(line.text):
+            text[line.home] += len(line.text)
+    most = max(text.values(), default=0)
+    # an element that merely reaches into the last window is none of them
+    homes = {h for h, n in text.items() if n >= dense and 4 * n >= most or n == most}
+    out = keep | np.fromiter((x.home in homes and 2 * x.linked <= len(x.text) for x in lines), np.bool_, len(lines))
+    if 2 * sum(len(x.text) for x, o in zip(lines, out, strict=True) if o and x.article) >= sum(
+        len(x.text) for x, o in zip(lines, out, strict=True) if o
+    ):
+        # an element that names the article corrects the bounds: lines that windows reach beyond it go
+        named = [i for i, x in enumerate(lines) if out[i] and x.article]
+        if named:
+            out[: named[0]] = out[named[-1] + 1 :] = False
+            return out
+    for i in range(len(lines) - 1, 0, -1):
+        if not out[i] or out[i - 1]:
+            continue
+        for j in range(i - 1, max(-1, i - 2 - BYLINES), -1):
+            if out[j] or 2 * lines[j].linked > len(lines[j].text):
+                break
+            if lines[j].heading:
+                out[j:i] = True
+                break
+    return out
+
+
+def main_lines(lines: Sequence[Line]) -> np.ndarray:
+    """For each line whether it is main text."""
+    lengths = np.fromiter((len(x.text) for x in lines), np.int64, len(lines))
+    linked = np.fromiter((x.linked for x in lines), np.int64, len(lines))
+    return joined(dense_lines(lengths, linked), lines)
+
+
 def main_text(page: str) -> str:
     lines, found = lines_of(page)
     keep = np.zeros(len(lines), np.bool_)
     for chrome in shown(lines, found):
         at = [i for i, x in enumerate(lines) if x.chrome in chrome]
-        lengths = np.fromiter((len(lines[i].text) for i in at), np.int64, len(at))
-        linked = np.fromiter((lines[i].linked for i in at), np.int64, len(at))
-        articles = np.fromiter((lines[i].article for i in at), np.int64, len(at))
-        keep[np.array(at, np.int64)[main_lines(lengths, linked, articles)]] = True
-    return "\n".join(x.text for x, k in zip(lines, keep) if k)
+        keep[np.array(at, np.int64)[main_lines([lines[i] for i in at])]] = True
+    return "\n".join(x.text for x, k in zip(lines, keep, strict=True) if k)
 
 
 def html_text(
@@ -321,8 +370,10 @@ def html_text(
     White space in a line is one space, lines are joined by a line feed; nothing in the main text
     is cut. A NULL or empty page has the empty text, and so has one without any text. Repeated rows
     come out as often as they go in, columns that are not named are left out, an empty table gives
-    an empty result.
+    an empty result. ``keep`` cannot name a column ``text``.
     """
+    if "text" in (page_id, *keep):
+        raise ValueError("a column to keep is named text, as the result")
     carried = [page_id, *keep]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(carried).schema)
 
