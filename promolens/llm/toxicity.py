@@ -5,7 +5,8 @@ vectors of two terms in one text add to its score. So a pair of terms, such as a
 name of a group, can count for more than both alone.
 
 Terms are the text's distinct words, lower-cased, and the first letters of longer ones, as 64-bit
-hashes: endings that no labelled text has do not hide a word.
+hashes: endings that no labelled text has do not hide a word. The value of a term is the logarithm of the number of
+distinct words that have it, so that a text with many words of one beginning differs from one with a single one.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ FACTORS, PREFIXES = 4, (4, 5, 6)
 #: their first numbers stay under.
 EPOCHS, ALPHA, L1, L2 = 8, 2.0, 3.0, 0.1
 RATE, DECAY, START = 0.005, 1e-4, 0.01
-#: A term is learnt if so many of a shard's texts have it; terms that a model keeps at most.
-MIN_TEXTS, MAX_TERMS = 3, 200_000
+#: A term is learnt if so many of a shard's texts have it, and takes part in pairs if so many have it.
+MIN_TEXTS, PAIR_TEXTS = 3, 30
 #: Scores from here on are predicted as label 1.
 THRESHOLD = 0.3
 #: Terms that a task works on at a time.
@@ -38,14 +39,14 @@ _V = [f"v{i}" for i in range(FACTORS)]
 
 
 def term_hashes(text: Column) -> Column:
-    """The distinct terms of a text as hashes; none for NULL."""
+    """The terms of a text as hashes, each as often as it has distinct words with it; none for NULL."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
 
     def beginnings(n: int) -> Column:
         longer = F.filter(words, lambda w: F.length(w) > n)
         return F.transform(longer, lambda w: F.xxhash64(F.substring(w, 1, n), F.lit(n)))
 
-    return F.array_distinct(F.concat(F.transform(words, lambda w: F.xxhash64(w)), *(beginnings(n) for n in PREFIXES)))
+    return F.concat(F.transform(words, lambda w: F.xxhash64(w)), *(beginnings(n) for n in PREFIXES))
 
 
 def sigmoid(x):
@@ -58,19 +59,26 @@ def first_vectors(terms: np.ndarray) -> np.ndarray:
     return (bits / 65536.0 - 0.5) * 2 * START
 
 
+def term_values(counts: np.ndarray) -> np.ndarray:
+    return np.log2(1.0 + counts)
+
+
 def fit_machine(documents: list[np.ndarray], labels: np.ndarray) -> pd.DataFrame:
     """Rows (term, weight, v0, v1, ...) after some passes over the rows; term 0 is the constant.
 
-    The weights follow the regularised leader, which leaves those of terms without a bearing on the
-    label at zero; only terms with a weight take part in the pairs.
+    The weights follow the regularised leader, which leaves those of terms without a bearing on the label at zero.
+    Which terms have a vector depends on how many texts have them and on nothing that is learnt, so a pair is
+    learnt as well where neither term has a bearing of its own, whatever the order of the rows.
     """
-    terms, counts = np.unique(np.concatenate([*documents, np.empty(0, np.int64)]), return_counts=True)
-    terms = terms[(counts >= MIN_TEXTS) & (terms != 0)]
-    places = []
-    for d in documents:
-        at = np.minimum(np.searchsorted(terms, d), max(0, len(terms) - 1))
-        known = at[terms[at] == d] if len(terms) else at[:0]
-        places.append(np.append(known, len(terms)))  # the constant
+    each = [np.unique(d[d != 0], return_counts=True) for d in documents]
+    terms, texts = np.unique(np.concatenate([*(t for t, _ in each), np.empty(0, np.int64)]), return_counts=True)
+    terms, texts = terms[texts >= MIN_TEXTS], texts[texts >= MIN_TEXTS]
+    often = np.append(texts >= PAIR_TEXTS, False)
+    rows = []
+    for t, c in each:
+        at = np.minimum(np.searchsorted(terms, t), max(0, len(terms) - 1))
+        known = terms[at] == t if len(terms) else np.zeros(len(t), bool)
+        rows.append((np.append(at[known], len(terms)), np.append(term_values(c[known]), 1.0)))  # the constant
     z, n = np.zeros(len(terms) + 1), np.zeros(len(terms) + 1)
     l1 = np.append(np.full(len(terms), L1), 0.0)
     v = np.vstack([first_vectors(terms), np.zeros((1, FACTORS))])
@@ -80,23 +88,23 @@ def fit_machine(documents: list[np.ndarray], labels: np.ndarray) -> pd.DataFrame
         return np.where(np.abs(z[i]) <= l1[i], 0.0, (np.sign(z[i]) * l1[i] - z[i]) / ((1 + np.sqrt(n[i])) / ALPHA + L2))
 
     for _ in range(EPOCHS):
-        for i, y in zip(places, labels):
-            w = weights(i)
-            paired = i[w != 0]
-            paired = paired[paired < len(terms)]
+        for (i, x), y in zip(rows, labels):
+            w, paired = weights(i), i[often[i]]
+            xp = x[often[i]][:, None]
             vi = v[paired]
-            total = vi.sum(0)
-            error = sigmoid(w.sum() + 0.5 * (total @ total - (vi * vi).sum())) - y
-            grown = np.sqrt(n[i] + error * error)
-            z[i] += error - (grown - np.sqrt(n[i])) / ALPHA * w
-            n[i] += error * error
-            step = error * (total - vi) + DECAY * vi
+            own = vi * xp
+            total = own.sum(0)
+            error = sigmoid(w @ x + 0.5 * (total @ total - (own * own).sum())) - y
+            g = error * x
+            z[i] += g - (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / ALPHA * w
+            n[i] += g * g
+            step = error * xp * (total - own) + DECAY * vi
             squares[paired] += step * step
             v[paired] = vi - RATE * step / np.sqrt(squares[paired])
     w = weights(np.arange(len(terms) + 1))
-    v[w == 0] = 0.0
+    v[~often] = 0.0
     out = pd.DataFrame({"term": np.append(terms, 0), "weight": w, **{c: v[:, i] for i, c in enumerate(_V)}})
-    return out[(w != 0) | (out["term"] == 0)]
+    return out[(w != 0) | often | (out["term"] == 0)]
 
 
 class Machine:
@@ -112,29 +120,32 @@ class Machine:
         self.vectors = rest[_V].to_numpy() / max(1, shards)
 
     def scores(self, terms: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-        """Of rows whose distinct terms are given, each with its row."""
+        """Of rows whose terms are given, as often as they count, each with its row."""
         if not len(self.terms):
             return np.full(rows, sigmoid(self.constant))
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         known = self.terms[at] == terms
-        at, row = at[known], row[known]
-        total = self.constant + np.bincount(row, self.weights[at], rows)
+        pairs, counts = np.unique(row[known] * len(self.terms) + at[known], return_counts=True)
+        row, at, x = pairs // len(self.terms), pairs % len(self.terms), term_values(counts)
+        total = self.constant + np.bincount(row, self.weights[at] * x, rows)
         for f in range(FACTORS):
-            v = self.vectors[at, f]
+            v = self.vectors[at, f] * x
             total += 0.5 * (np.bincount(row, v, rows) ** 2 - np.bincount(row, v * v, rows))
         return sigmoid(total)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Machine:
-    """The mean of the shards' machines; of its terms those that weigh most, ``MAX_TERMS`` at most."""
+    """The mean of the shards' machines.
+
+    Its terms are those with a weight or with ``PAIR_TEXTS`` texts in a shard: at most a ``MIN_TEXTS``-th of all terms of the
+    ``MAX_LABELLED`` rows it is fitted on, whatever the size of the corpus.
+    """
     rows = training_rows(docs, labels, term_hashes(F.col(text)), doc_id=doc_id, label=label).cache()
     try:
         shards = rows.select("shard").distinct().count()
         schema = ", ".join(["term long", "weight double", *(f"{c} double" for c in _V)])
         sums = [F.sum(c).alias(c) for c in ("weight", *_V)]
-        weight = F.col("term") == 0
-        by_size = fit_in_shards(rows, fit_machine, schema).groupBy("term").agg(*sums)
-        found = by_size.orderBy(weight.desc(), F.abs("weight").desc(), "term").limit(MAX_TERMS).toPandas()
+        found = fit_in_shards(rows, fit_machine, schema).groupBy("term").agg(*sums).toPandas()
     finally:
         rows.unpersist()
     return Machine(found, shards)
@@ -142,7 +153,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
 
 def score_toxicity(docs: DataFrame, machine: Machine, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``score`` for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # MAX_TERMS terms at most
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # no larger than the fitted rows allow
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
