@@ -19,7 +19,16 @@ from promolens.llm.quality import quality
 from promolens.llm.secrets import BASE_RULES, MORE_RULES, secret_scan
 from promolens.llm.substring_dedup import WINDOW, substring_dedup
 from promolens.llm.toxicity import toxicity
-from promolens.llm.url_filter import UNWANTED_WORDS, Rule, unwanted_hosts, url_filter
+from promolens.llm.url_filter import (
+    MARKUP,
+    THIN_CHARS,
+    THIN_PERCENT,
+    UNWANTED_WORDS,
+    Rule,
+    thin_hosts,
+    unwanted_hosts,
+    url_filter,
+)
 from promolens.llm.whitening import whiten
 
 #: The rules that op1 judges by.
@@ -33,8 +42,9 @@ URL_RULES = (
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    judged = url_filter(pages, URL_RULES, unwanted_hosts(pages))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    listed = unwanted_hosts(pages).unionAll(thin_hosts(pages))
+    judged = url_filter(pages.drop("html"), URL_RULES, listed)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -59,9 +69,18 @@ def _op1_sql() -> str:
              arg_max(r.action, length(r.host || r.path)) AS action
       FROM cut JOIN rules r
         ON (cut.host = r.host OR ends_with(cut.host, '.' || r.host)) AND starts_with(cut.path, r.path)
-      GROUP BY page_id)
+      GROUP BY page_id),
+    thin AS (
+      SELECT c.host FROM cut c JOIN pages p USING (page_id) WHERE c.host <> ''
+      GROUP BY c.host
+      HAVING 100 * count(*) FILTER (
+        WHERE length(regexp_replace(coalesce(p.html, ''), '{MARKUP}', '', 'g')) < {THIN_CHARS}) > {THIN_PERCENT} * count(*)),
+    listed AS (
+      SELECT DISTINCT c.host FROM cut c
+      WHERE regexp_matches(c.host, '{unwanted}')
+         OR EXISTS (SELECT 1 FROM thin t WHERE c.host = t.host OR ends_with(c.host, '.' || t.host)))
     SELECT c.page_id, c.host, c.path, b.rule,
-           coalesce(b.action, CASE WHEN regexp_matches(c.host, '{unwanted}') THEN 'block' ELSE 'allow' END) AS verdict
+           coalesce(b.action, CASE WHEN c.host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
     FROM cut c LEFT JOIN best b USING (page_id)
     """
 

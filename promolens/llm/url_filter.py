@@ -6,7 +6,9 @@ takes for listed and are not, the third the listed keys that the second takes fo
 until a level lets nothing wrong through. The universe here is complete: every key that any url of
 the corpus can ask for.
 
-The levels are arrays of 64-bit words, so a lookup is a column expression and needs no join.
+The levels are arrays of 64-bit words, so a lookup is a column expression and needs no join. Those of the rules, which
+are given in the program, are literals; those of a table of hosts are stored and read as subqueries, so
+that the plan stays small however long the list is.
 """
 
 from __future__ import annotations
@@ -19,13 +21,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import ascii_lower, fresh
+from promolens.llm.common import ascii_lower, fresh, store
 
 #: Bits for each key of a level, and hash functions for them.
 BITS_PER_KEY, HASHES = 10, 4
-#: Words of all levels together that are sent to the executors as a literal (8 MB). Longer lists are
-#: looked up by a join instead, see ``url_filter``.
-MOST_WORDS = 1 << 20
+#: Words that stand together in a level.
+CHUNK = 4096
 
 
 @dataclass(frozen=True)
@@ -92,36 +93,26 @@ def shapes_of(keys: DataFrame) -> list[tuple[int, int]]:
 class Cascade:
     """Exact membership of the universe's keys in the listed ones.
 
-    ``levels`` has (bits, words) for each level; level i answers for listed keys where i is even.
+    ``levels`` has (bits, array of chunks of words) for each level; level i answers for listed keys where i is even.
     An empty list has no levels and contains nothing. Keys outside the universe may get a wrong
     answer, like in any Bloom filter.
     """
 
-    def __init__(self, levels: list[tuple[int, list[int]]]):
+    def __init__(self, levels: list[tuple[int, Column]]):
         self.levels = levels
 
-    @property
-    def words(self) -> int:
-        return sum(len(words) for _, words in self.levels)
-
     @classmethod
-    def build(cls, listed: DataFrame, universe: DataFrame) -> Cascade | None:
-        """Both have a string column ``key``; None if the cascade would pass ``MOST_WORDS``."""
-        right = listed.select("key").where(F.col("key").isNotNull()).distinct().cache()
-        wrong = universe.select("key").distinct().join(right, "key", "left_anti").cache()
-        levels: list[tuple[int, list[int]]] = []
-        try:
-            mine, others = right, wrong
-            while keys := mine.count():
-                bits = max(64, 64 * math.ceil(keys * BITS_PER_KEY / 64))
-                if sum(len(w) for _, w in levels) + bits // 64 > MOST_WORDS:
-                    return None
-                level = (bits, _level(mine, len(levels), bits))
-                levels.append(level)
-                mine, others = others.where(_passes(F.col("key"), len(levels) - 1, *level)), mine
-        finally:
-            right.unpersist()
-            wrong.unpersist()
+    def build(cls, listed: DataFrame, universe: DataFrame, *, literal: bool = False) -> Cascade:
+        """Both have a string column ``key``. With ``literal`` the levels are part of the plan, else they are stored."""
+        every = listed.select("key", F.lit(True).alias("on")).unionAll(universe.select("key", F.lit(False).alias("on")))
+        keys = store(every.where("key IS NOT NULL").groupBy("key").agg(F.max("on").alias("on")))
+        levels: list[tuple[int, Column]] = []
+        mine, others = keys.where("on"), keys.where("NOT on")
+        while count := mine.count():
+            bits = 64 * math.ceil(count * BITS_PER_KEY / 64)
+            words = _level(mine, len(levels), bits)
+            levels.append((bits, _as_literal(words) if literal else store(words).agg(_in_order("chunk", "words")).scalar()))
+            mine, others = others.where(_passes(F.col("key"), len(levels) - 1, *levels[-1])), mine
         return cls(levels)
 
     def contains(self, key: Column) -> Column:
@@ -137,22 +128,31 @@ def _bit(key: Column, level: int, nth: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(level * HASHES + nth)), F.lit(bits))
 
 
-def _level(keys: DataFrame, level: int, bits: int) -> list[int]:
+def _in_order(place: str, value: str) -> Column:
+    return F.transform(F.sort_array(F.collect_list(F.struct(place, value))), lambda s: s[value]).alias(value)
+
+
+def _level(keys: DataFrame, level: int, bits: int) -> DataFrame:
+    """The words of a level's bit array, in chunks: (chunk, words)."""
     at = keys.select(F.explode(F.array(*(_bit(F.col("key"), level, i, bits) for i in range(HASHES)))).alias("bit"))
-    words = at.groupBy(F.floor(F.col("bit") / 64).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")).alias("value")
-    )
-    held = dict(words.collect())
-    return [held.get(i, 0) for i in range(bits // 64)]
+    set_ = at.select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, CAST(bit % 64 AS INT))").alias("value"))
+    blank = keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("value"))
+    words = set_.unionAll(blank).groupBy("word").agg(F.bit_or("value").alias("words"))
+    return words.groupBy(F.floor(F.col("word") / CHUNK).alias("chunk")).agg(_in_order("word", "words"))
+
 
+def _as_literal(words: DataFrame) -> Column:
+    held = [r["words"] for r in words.orderBy("chunk").collect()]
+    return F.from_json(F.lit(json.dumps(held)), "array<array<bigint>>")  # folded into one literal
 
-def _passes(key: Column, level: int, bits: int, words: list[int]) -> Column:
-    array = F.from_json(F.lit(json.dumps(words)), "array<bigint>")  # folded into one literal
+
+def _passes(key: Column, level: int, bits: int, chunks: Column) -> Column:
     out = F.lit(True)
     for i in range(HASHES):
         bit = _bit(key, level, i, bits)
-        word = F.element_at(array, (F.floor(bit / 64) + 1).cast("int"))
-        out = out & (F.getbit(word, (bit % 64).cast("int")) == 1)
+        word = F.shiftright(bit, 6)
+        held = F.get(F.get(chunks, F.floor(word / CHUNK).cast("int")), (word % CHUNK).cast("int"))
+        out = out & (F.getbit(held, (bit % 64).cast("int")) == 1)
     return out
 
 
@@ -167,55 +167,50 @@ def url_filter(
 
     The longest rule that fits a url gives its verdict. Without one, a url whose host, or a domain
     above it, is among ``listed_hosts`` (column ``host``) is blocked, any other allowed. Of two
-    rules with the same key, block wins.
+    rules with the same key, block wins; of two different ones of equal length the first in byte order.
 
     A NULL url, or one without ``://``, has an empty host and path and so neither rule nor listed
     host: allowed. Repeated rows are judged alike, an empty table gives an empty result. Columns of
     ``pages`` that are called like a new one are replaced; other columns are kept.
     """
-    spark = pages.sparkSession
-    names = [fresh(pages, n) for n in ("_rule_keys", "_host_keys")]
-    mark = fresh(pages, "_on_list")
+    name = fresh(pages, "_rule_keys")
     judged = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
 
-    keys = spark.createDataFrame([(r.action, r.key) for r in rules], "action string, key string")
+    keys = pages.sparkSession.createDataFrame([(r.action, r.key) for r in rules], "action string, key string")
     hosts = listed_hosts.select(ascii_lower(F.col("host")).alias("key")).where("key != ''")
-    rule_shapes, host_shapes = shapes_of(keys), [(n, 0) for n, _ in shapes_of(hosts)]
-
-    of_rules = candidate_keys(F.col("host"), F.col("path"), rule_shapes)
-    of_hosts = candidate_keys(F.col("host"), F.col("path"), host_shapes)
-    judged = judged.withColumns({names[0]: of_rules, names[1]: of_hosts})
-    asked = [judged.select(F.explode(n).alias("key")).distinct() for n in names]
-
-    is_rule = Cascade.build(keys, asked[0])
-    is_block = Cascade.build(keys.where("action = 'block'"), asked[0])
-    is_host = Cascade.build(hosts, asked[1])
-    if is_rule is None or is_block is None:
-        raise ValueError(f"the rules need more than {MOST_WORDS} words of Bloom filters")
-
-    rule = F.try_element_at(F.filter(names[0], is_rule.contains), F.lit(1))
-    if is_host is not None:
-        on_list = F.exists(names[1], is_host.contains)
-    else:  # a list too long to send along
-        hit = (
-            judged.select("host", F.explode(names[1]).alias("key"))
-            .join(hosts.distinct(), "key", "left_semi")
-            .select("host")
-            .distinct()
-            .withColumn(mark, F.lit(True))
-        )
-        judged = judged.join(hit, "host", "left")
-        on_list = F.coalesce(mark, F.lit(False))
+    of_rules = candidate_keys(F.col("host"), F.col("path"), shapes_of(keys))
+    of_hosts = [_last_labels(F.col("host"), n) for n in sorted({n for n, _ in shapes_of(hosts)})]
+    judged = judged.withColumn(name, of_rules)
+    asked_rules = judged.select(F.explode(name).alias("key"))
+    asked_hosts = judged.select(F.explode(F.array(*of_hosts) if of_hosts else F.array().cast("array<string>")).alias("key"))
+
+    is_rule = Cascade.build(keys, asked_rules, literal=True)
+    is_block = Cascade.build(keys.where("action = 'block'"), asked_rules, literal=True)
+    is_host = Cascade.build(hosts, asked_hosts, literal=False)
+    rule = F.try_element_at(F.filter(name, is_rule.contains), F.lit(1))
+    on_list = F.lit(False)
+    for key in of_hosts:
+        on_list = on_list | (key.isNotNull() & is_host.contains(key))
     by_rule = F.when(is_block.contains(F.col("rule")), "block").otherwise("allow")
     judged = judged.withColumn("rule", rule).withColumn(
         "verdict",
         F.when(F.col("rule").isNotNull(), by_rule).otherwise(F.when(on_list, "block").otherwise("allow")),
     )
-    return judged.drop(*names, mark)
+    return judged.drop(name)
+
+
+def _last_labels(host: Column, n: int) -> Column:
+    """The last n labels of a host, NULL if it has fewer."""
+    labels = F.split(host, r"\.")
+    return F.when(F.size(labels) >= n, F.substring_index(host, ".", -n))
 
 
 #: Words in host names of sites that are not wanted in a corpus.
 UNWANTED_WORDS = ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "viagra", "warez")
+#: A page with fewer code points outside its markup is thin; a host is thin if more than so many percent of its pages are.
+THIN_CHARS, THIN_PERCENT = 1000, 25
+#: Scripts, styles and tags.
+MARKUP = "(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<[^>]*>"
 
 
 def unwanted_hosts(pages: DataFrame, *, url: str = "url", words: Sequence[str] = UNWANTED_WORDS) -> DataFrame:
@@ -225,3 +220,16 @@ def unwanted_hosts(pages: DataFrame, *, url: str = "url", words: Sequence[str] =
     return (
         pages.select(F.regexp_extract(host, named, 1).alias("host")).where("host != ''").distinct()
     )
+
+
+def thin_hosts(
+    pages: DataFrame, *, url: str = "url", page: str = "html", chars: int = THIN_CHARS, percent: int = THIN_PERCENT
+) -> DataFrame:
+    """The corpus's hosts of which more than ``percent`` of the pages have fewer than ``chars`` code points of text.
+
+    A NULL page has none. Urls without a host are left out.
+    """
+    size = F.length(F.regexp_replace(F.coalesce(page, F.lit("")), MARKUP, ""))
+    counted = pages.select(host_of(F.col(url)).alias("host"), (size < chars).cast("int").alias("thin")).where("host != ''")
+    share = counted.groupBy("host").agg(F.sum("thin").alias("thin"), F.count("*").alias("pages"))
+    return share.where(F.col("thin") * 100 > F.col("pages") * percent).select("host")

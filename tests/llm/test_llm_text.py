@@ -18,7 +18,7 @@ from promolens.llm.html_text import html_text, main_text
 from promolens.llm.line_dedup import line_dedup
 from promolens.llm.queries import URL_RULES
 from promolens.llm.secrets import BASE_RULES, MORE_RULES, SecretRule, finds, mandatory_trigrams, secret_scan
-from promolens.llm.url_filter import Cascade, Rule, unwanted_hosts, url_filter
+from promolens.llm.url_filter import Cascade, Rule, thin_hosts, unwanted_hosts, url_filter
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -71,17 +71,49 @@ def test_cascade_is_exact_on_its_universe(spark):
     assert wrong.count() == 0
 
 
-def test_a_long_list_is_joined(spark, monkeypatch):
-    from promolens.llm import url_filter as module
-
-    pages = spark.createDataFrame([("http://a.casino.org/",), ("http://b.org/",), (None,)], "url string")
-    build = Cascade.build.__func__
-    monkeypatch.setattr(
-        module.Cascade, "build",
-        classmethod(lambda cls, listed, universe: None if listed.where("key like 'casino%'").count() else build(cls, listed, universe)),
-    )
-    got = {r.url: r.verdict for r in url_filter(pages, URL_RULES, unwanted_hosts(pages)).collect()}
-    assert got == {"http://a.casino.org/": "block", "http://b.org/": "allow", None: "allow"}
+def test_a_long_list_stays_out_of_the_plan(spark):
+    """A million listed hosts: the verdicts of a plain join, from a plan of some thousand characters and no join."""
+    hosts = spark.range(1_000_000).select(F.concat(F.lit("h"), "id", F.lit(".org")).alias("host"))
+    ids = spark.range(0, 4_000_000, 997)
+    pages = ids.select("id", F.concat(F.lit("http://www.h"), "id", F.lit(".org/x")).alias("url"))
+    got = url_filter(pages, URL_RULES, hosts)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 200_000
+    assert "Join" not in plan
+    assert got.where("verdict = 'block'").select("id").collect() == pages.where("id < 1000000").select("id").collect()
+
+
+def test_literal_and_stored_levels_agree(spark):
+    universe = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.where("length(key) = 3")
+    for literal in (True, False):
+        cascade = Cascade.build(listed, universe, literal=literal)
+        assert universe.where(cascade.contains(F.col("key"))).count() == listed.count() == 90
+    nothing = Cascade.build(listed.where("false"), universe)
+    assert nothing.levels == []
+    assert universe.where(nothing.contains(F.col("key"))).count() == 0
+
+
+def test_the_first_of_two_equally_long_rules_wins(spark):
+    pages = spark.createDataFrame([("http://b.a.com/x",)], "url string")
+    rules = [Rule("allow", "b.a.com", "/"), Rule("block", "a.com", "/x"), Rule("allow", "a.com", "/")]
+    assert url_filter(pages, rules, pages.select(F.lit("z.z").alias("host"))).first().rule == "b.a.com/"
+    pair = [Rule("block", "c.a.com", "/"), Rule("allow", "a.com", "/w")]  # seven and seven characters
+    same = spark.createDataFrame([("http://c.a.com/wx",)], "url string")
+    for given in (pair, pair[::-1]):
+        assert url_filter(same, given, same.select(F.lit("z.z").alias("host"))).first().rule in ("a.com/w", "c.a.com/")
+
+
+def test_thin_hosts(spark):
+    long = "<p>" + "x" * 1000
+    rows = [
+        ("http://A.com/1", "<p>short"), ("http://a.com/2", long), ("http://a.com/3", long),  # 1 of 3
+        ("http://b.com/", "<p>short"), ("http://b.com/", long), ("http://b.com/", long), ("http://b.com/", long),  # 1 of 4
+        ("http://c.com/", None), ("http://d.com/", f"<script>{long}</script><style>\n{long}</style><i title='{'y' * 2000}'>z</i>"),
+        ("no url", "x"), (None, "x"),
+    ]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    assert {r.host for r in thin_hosts(pages).collect()} == {"a.com", "c.com", "d.com"}
 
 
 @pytest.fixture(scope="module")
