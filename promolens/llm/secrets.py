@@ -151,6 +151,18 @@ def trigram_postings(docs: DataFrame, trigrams: Sequence[str]) -> DataFrame:
     return docs.withColumn("_low", ascii_lower(F.col("body"))).select("id", "text_id", F.explode(has).alias("trigram"))
 
 
+def may_match(body: Column, queries: dict[str, list[frozenset[str]]]) -> Column:
+    """Whether a text has all trigrams of any rule's alternative, as ``rule_candidates`` asks of the postings."""
+    low = ascii_lower(body)
+    out = F.lit(False)
+    for choice in _shortest(s for query in queries.values() for s in query):
+        held = F.lit(True)
+        for trigram in sorted(choice):
+            held = held & F.contains(low, F.lit(trigram))
+        out = out | held
+    return out
+
+
 def rule_candidates(docs: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
     """(id, text_id, kinds): the rules with an alternative all of whose trigrams the document has."""
     spark = docs.sparkSession
@@ -220,7 +232,9 @@ def secret_spans(
             F.col("id").alias("_id"), F.col("text_id").alias("_text_id"), "kinds"
         )
         same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text_id"))
-        parts.append(_searched(bare.join(near, same), [r for r in rules if r.kind in indexed], F.col("kinds")))
+        # texts that cannot be among the candidates stay where they are read
+        texts = bare.where(may_match(F.col("body"), indexed))
+        parts.append(_searched(texts.join(near, same), [r for r in rules if r.kind in indexed], F.col("kinds")))
     rows = reduce(DataFrame.unionByName, parts).dropDuplicates(["id", "text_id", "kind", "nth"])
     so_far = Window.partitionBy("id", "text_id", "kind").orderBy("nth")
     end = F.sum(F.col("gap") + F.col("own")).over(so_far)
