@@ -153,14 +153,13 @@ def trigram_postings(docs: DataFrame, trigrams: Sequence[str]) -> DataFrame:
 
 def may_match(body: Column, queries: dict[str, list[frozenset[str]]]) -> Column:
     """Whether a text has all trigrams of any rule's alternative, as ``rule_candidates`` asks of the postings."""
-    low = ascii_lower(body)
-    out = F.lit(False)
-    for choice in _shortest(s for query in queries.values() for s in query):
-        held = F.lit(True)
-        for trigram in sorted(choice):
-            held = held & F.contains(low, F.lit(trigram))
-        out = out | held
-    return out
+
+    def holds(low: Column) -> Column:  # lower-cased once for all of them
+        choices = _shortest(choice for query in queries.values() for choice in query)
+        every = [reduce(Column.__and__, [F.contains(low, F.lit(t)) for t in sorted(c, reverse=True)]) for c in choices]
+        return reduce(Column.__or__, every)
+
+    return F.exists(F.array(ascii_lower(body)), holds)
 
 
 def rule_candidates(docs: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
