@@ -7,17 +7,16 @@ text as the stage leaves it.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.llm.bpe import bpe
-from promolens.llm.common import ensure_checkpoint_dir, table, vocabulary_path
+from promolens.llm.common import table, vocabulary_path
 from promolens.llm.decontaminate import decontaminate
 from promolens.llm.jaccard_join import keep_one
 from promolens.llm.line_dedup import line_dedup
 from promolens.llm.quality import THRESHOLD, fit_quality, score_quality
+from promolens.sources.scratch import scratch_folder
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,10 +78,13 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each stored in the shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over the documents, each stored as ``<folder>/<stage>``.
+
+    Without a folder they go to a new one in the shared checkpoint folder. They stay there: the last
+    one is the result, those before it show what each stage kept.
+    """
+    folder = folder or scratch_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

@@ -31,7 +31,7 @@ def test_all_are_registered():
     assert set(QUERIES) <= set(registered.queries())
     assert "pipeline" in registered.queries()
     assert set(ORACLE_SQL) <= set(registered.oracle_sql())
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="generated tables not present")
@@ -121,14 +121,17 @@ def test_without_usable_labels_no_document_is_rejected(spark, tmp_path, marks):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     kept = corpus_pipeline.keep_quality(spark, docs, str(tmp_path))
     assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert corpus_pipeline.run(spark, str(tmp_path), f"{tmp_path}/stages").count() > 0
+    assert {name for name, _ in corpus_pipeline.STAGES} <= set(os.listdir(tmp_path / "stages"))
 
 
 def test_pipeline_on_empty_tables(spark, tmp_path):
     for name, columns in (("documents", COLUMNS), ("labels", "doc_id long, quality int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, columns in (("pages", "page_id long, url string, html string"), ("embeddings", "vec_id long, embedding array<float>")):
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
-    for name in set(QUERIES) - {"op1_url_filter", "op10_html_text"}:
+    for name in QUERIES:
         if name == "op7_toxicity":
             spark.createDataFrame([], "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
         assert registered.queries()[name](spark, str(tmp_path)).count() == 0, name
