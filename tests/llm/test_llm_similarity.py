@@ -1,6 +1,7 @@
 """Near-duplicates, fingerprints and decontamination against brute force."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -291,3 +292,36 @@ def test_short_items_on_rows(spark):
     bench = spark.createDataFrame([(7, "paris")], "item_id int, text string")
     assert [tuple(r) for r in benchmark_matches(docs, bench).collect()] == [(1, 7, 12, 17, 0)]
     assert sorted(r.doc_id for r in decontaminate(docs, bench).collect()) == [2, 3]
+
+
+SCALE = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SCALE), reason="generated tables not present")
+def test_links_and_classes_of_all_documents_against_brute_force(spark):
+    """Every pair of the 1,000 documents compared: no false link, hardly one missed, classes accordingly."""
+    rows = spark.read.parquet(f"{SCALE}/documents.parquet").select("doc_id", "text").collect()
+    grams = {}
+    for r in rows:
+        words = re.findall(r"[^\W_]+", (r.text or "").lower())
+        grams[r.doc_id] = frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+    index = {}
+    for i, own in grams.items():
+        for g in own:
+            index.setdefault(g, []).append(i)
+    links = {i: set() for i in grams}
+    for i, own in grams.items():
+        met = Counter(j for g in own for j in index[g] if j != i)
+        links[i] = {j for j, n in met.items() if n >= 0.8 * (len(own) + len(grams[j]) - n) - 1e-9}
+        if not own:
+            links[i] = {j for j, g in grams.items() if not g and j != i}
+    got = {r.id: r for r in jaccard_join(spark.createDataFrame(rows)).collect()}
+    found, expected = sum(r.n_links for r in got.values()), sum(map(len, links.values()))
+    assert all(got[i].n_links <= len(links[i]) for i in links)
+    assert found >= 0.999 * expected > 0
+    if found == expected:
+        for i in links:
+            reached, todo = {i}, [i]
+            while todo:
+                todo = [j for k in todo for j in links[k] if j not in reached and not reached.add(j)]
+            assert got[i].class_id == min(reached)
