@@ -3,7 +3,8 @@
 Equal word sequences are one text with copies. The texts' sets of word n-grams get MinHash
 signatures; texts that agree in all rows of a band share a bucket. Texts that buckets connect are
 compared on their full n-gram sets, in blocks of bounded size, and no pair is ever a row: a block
-gives the number of links of each text and the links that hold it together.
+gives the number of links of each text and the links that hold it together. Sets whose sizes alone rule the
+similarity out do not meet: a class is cut by size first.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.llm.common import ensure_checkpoint_dir, fresh, list_chunks
@@ -73,6 +74,15 @@ def ngrams(words: np.ndarray, row: np.ndarray, rows: int, n: int = WORDS) -> tup
     return total, row[where]
 
 
+def set_sizes(grams: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """How many different n-grams each row has."""
+    order = np.lexsort((grams, row))
+    grams, row = grams[order], row[order]
+    fresh_ = np.ones(len(grams), bool)
+    fresh_[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
+    return np.bincount(row[fresh_], minlength=rows)
+
+
 def signature_bands(grams: np.ndarray, row: np.ndarray, rows: int, bands: int, per_band: int) -> np.ndarray:
     """(rows, bands) hashes of the bands' minima; rows must be ascending and each have an n-gram."""
     rng = np.random.default_rng(20231)
@@ -89,7 +99,7 @@ def signature_bands(grams: np.ndarray, row: np.ndarray, rows: int, bands: int, p
 
 
 def signed(docs: DataFrame, *, doc_id: str, text: str, n: int, bands: int, per_band: int) -> DataFrame:
-    """Rows (id, text_id, node, words, bands) for every document.
+    """Rows (id, text_id, node, words, grams, bands) for every document; words and different n-grams are counted.
 
     ``node`` stands for the sequence of words; a text without words has node 0 and no bands.
     """
@@ -100,16 +110,18 @@ def signed(docs: DataFrame, *, doc_id: str, text: str, n: int, bands: int, per_b
             column = batch.column(3)
             count = np.diff(np.asarray(column.offsets))
             lists: list = [None] * batch.num_rows
+            sizes = np.zeros(batch.num_rows, np.int64)
             for words, row, first, last in list_chunks(column, CHUNK):
                 grams, of = ngrams(words, row, last - first, n)
+                sizes[first:last] = set_sizes(grams, of, last - first)
                 filled, of = np.unique(of, return_inverse=True)
                 if len(filled):
                     found = signature_bands(grams, of, len(filled), bands, per_band)
                     for i, values in zip(filled.tolist(), found.view(np.int64)):
                         lists[first + i] = values
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(count, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                names=["id", "text_id", "node", "words", "bands"],
+                [*batch.columns[:3], pa.array(count, pa.int64()), pa.array(sizes), pa.array(lists, pa.list_(pa.int64()))],
+                names=["id", "text_id", "node", "words", "grams", "bands"],
             )
 
     words = word_hashes(F.col(text))
@@ -117,7 +129,7 @@ def signed(docs: DataFrame, *, doc_id: str, text: str, n: int, bands: int, per_b
         F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_id"), words.alias("words")
     )
     hashed = hashed.select("id", "text_id", F.when(F.size("words") > 0, F.xxhash64("words")).otherwise(0).alias("node"), "words")
-    schema = f"id {id_type}, text_id bigint, node bigint, words bigint, bands array<bigint>"
+    schema = f"id {id_type}, text_id bigint, node bigint, words bigint, grams bigint, bands array<bigint>"
     return hashed.mapInArrow(run, schema)
 
 
@@ -245,6 +257,7 @@ def jaccard_join(
         F.min(F.struct("id", "text_id")).alias("sample"),
         F.min("id").alias("least"),
         F.first("words").alias("words"),
+        F.first("grams").alias("grams"),
     )
     roots, links = _connected(docs, rows, texts, doc_id=doc_id, text=text, similarity=similarity, n=n)
     known = (
@@ -275,25 +288,48 @@ def _connected(
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("size")).where("size > 1")
     candidates = components(buckets.join(shared, "bucket").select(F.col("node").alias("a"), F.col("least").alias("b")))
 
-    # sizes decide how a component is cut into parts; each pair of parts is a block of its own
-    members = candidates.join(texts.select("node", "copies", "sample", "words"), "node")
-    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("words").alias("all_words"))
-    sizes = sizes.withColumn(
-        "parts",
-        F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("all_words") / BLOCK_WORDS), F.lit(1)).cast("int"),
-    ).drop("n")
-    whole = sizes.where("parts = 1").agg(F.sum("all_words")).first()[0] or 0
-    bins = max(1, math.ceil(whole / BLOCK_WORDS))
+    # Sets can only be linked if they are on one level or on neighbouring ones: a level is the ratio of sizes that
+    # the similarity allows. A component that is no single block is cut by level, and a level into parts.
+    width = max(-math.log(similarity) * (1 + 1e-9), 1e-9)
+    members = candidates.join(texts.select("node", "copies", "sample", "words", "grams"), "node").withColumn(
+        "level", F.floor(F.ln(F.greatest("grams", F.lit(1))) / width)
+    )
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("all_words") / BLOCK_WORDS), F.lit(1)).cast("int")
+    sizes = members.groupBy("root", "level").agg(F.count("*").alias("n"), F.sum("words").alias("all_words"))
+    by_level = Window.partitionBy("root").orderBy("level")  # some dozens of levels
+    whole = Window.partitionBy("root")
+
+    def beside(step: int) -> Column:
+        there = F.lead("level", step).over(by_level) == F.col("level") + step
+        return F.when(there, F.lead("parts", step).over(by_level)).otherwise(0)
+
+    sizes = sizes.withColumn("parts", parts).withColumns({"above": beside(1), "below": beside(-1)})
+    totals = {c: F.sum(c).over(whole) for c in ("n", "all_words")}
+    sizes = sizes.withColumns(totals).withColumn("single", parts == 1).drop("n").checkpoint()
+    in_single = sizes.where("single").dropDuplicates(["root"]).agg(F.sum("all_words")).first()[0] or 0
+    bins = max(1, math.ceil(in_single / BLOCK_WORDS))
+
+    def labels(level: Column, count: Column) -> Column:
+        """Numbers for the parts of a level."""
+        every = F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.shiftleft(level, 24) + i)
+        return F.when(count > 0, every).otherwise(F.array().cast("array<bigint>"))
+
+    level = F.col("level")
+    partners = F.concat(
+        labels(level, F.col("parts")), labels(level + 1, F.col("above")), labels(level - 1, F.col("below"))
+    )
+    own = F.shiftleft(level, 24) + F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts"))
+    alone = F.array(F.lit(0).cast("long"))
     placed = (
-        members.drop("words")
-        .join(sizes.drop("all_words"), "root")
-        .withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        members.drop("words", "grams")
+        .join(sizes.drop("all_words"), ["root", "level"])
+        .withColumn("part", F.when(F.col("single"), F.lit(0).cast("long")).otherwise(own))
+        .withColumn("with", F.explode(F.when(F.col("single"), alone).otherwise(partners)))
         .withColumn("first", F.least("part", "with"))
         .withColumn("second", F.greatest("part", "with"))
         .withColumn(
             "block",
-            F.when(F.col("parts") == 1, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(
+            F.when(F.col("single"), F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(
                 F.xxhash64("root", "first", "second")
             ),
         )

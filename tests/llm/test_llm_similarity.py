@@ -79,6 +79,26 @@ def test_join_against_brute_force(spark, monkeypatch, block_texts):
     assert Counter((r.id, r.n_links, r.class_id) for r in got) == brute(rows)
 
 
+def test_sizes_that_rule_a_link_out_do_not_meet(spark, monkeypatch):
+    """Texts that grow from 100 words to 900 are one component; only neighbours in size are compared, no link is lost."""
+    words = [f"w{i}" for i in range(900)]
+    rows = [(i, " ".join(words[: 100 + 4 * i])) for i in range(200)]
+    monkeypatch.setattr(joins, "BLOCK_TEXTS", 10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: (r.class_id, r.n_links) for r in jaccard_join(docs).collect()}
+    size = {i: 96 + 4 * i for i, _ in rows}
+    expected = {i: sum(j != i and min(size[i], size[j]) >= 0.8 * max(size[i], size[j]) for j in size) for i in size}
+    assert {i: n for i, (_, n) in got.items()} == expected
+    assert {c for c, _ in got.values()} == {0}
+
+
+def test_set_sizes():
+    rng = np.random.default_rng(2)
+    row = np.sort(rng.integers(0, 50, 3000))
+    grams = rng.integers(0, 40, 3000).astype(np.uint64)
+    assert joins.set_sizes(grams, row, 51).tolist() == [len(set(grams[row == i].tolist())) for i in range(51)]
+
+
 def test_join_of_nothing_and_of_one(spark):
     docs = documents(spark)
     assert jaccard_join(docs.where("false")).count() == 0
