@@ -6,6 +6,10 @@ place in the item) that differ by at most k. So the q-grams that a document shar
 counted in overlapping bands of diagonals; regions that reach the bound are aligned within their
 band, and those with at most k edits are reported. Items with fewer than q characters are looked up
 as they stand, between the words of the text.
+
+A benchmark of one block is handed to all tasks. Of a larger one the q-grams are joined with those of the
+documents, which a bit array has let pass, so that the documents are read once for all items; the pairs of document and item with a
+band that reaches the bound are then searched as those of a block are.
 """
 
 from __future__ import annotations
@@ -20,12 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from promolens.llm.common import chunks, fresh
+from promolens.llm.common import chunks, fresh, store
+from promolens.operators.key_filter import key_bits, may_hold
 
 #: Characters in a q-gram; edits per character of an item.
 Q, EDITS = 8, 0.1
-#: Characters of benchmark items that are looked for in one pass over the documents.
+#: Characters of benchmark items that are handed to all tasks; of a larger benchmark the q-grams are joined.
 BLOCK_CHARS = 4_000_000
+#: Bits for each q-gram of a larger benchmark, and the most bits in all (64 MB); a full array lets more q-grams into the join.
+BITS_EACH, MOST_BITS = 12, 1 << 29
 #: Characters of documents that a task works on at a time.
 TASK_CHARS = 2_000_000
 #: Cells of an alignment matrix that is filled at a time.
@@ -274,24 +281,124 @@ def benchmark_matches(
     ``q`` characters match without edits, as whole words.
 
     Empty and NULL texts hold nothing and, as items, are never found. Repeated documents are all reported; so are repeated items. Other columns are
-    left out. The items are looked for in blocks of bounded size, with a pass over the documents each.
+    left out.
     """
     size = benchmark.agg(F.coalesce(F.sum(F.length(item_text)), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(size / BLOCK_CHARS))
-    block = F.pmod(F.xxhash64(F.col(item_id), F.col(item_text)), F.lit(blocks))
     carried = [doc_id, *keep]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carried).schema)
     schema = f"{kept}, {MATCHES.format(item=benchmark.schema[item_id].dataType.simpleString())}"
     item_type = to_arrow_type(benchmark.schema[item_id].dataType)
     rows = docs.select(*carried, text)
-    out = None
-    for i in range(blocks):
-        some = benchmark.where(block == i).select(item_id, item_text).where(F.col(item_text).isNotNull())
-        some = some.orderBy(item_id, item_text).collect()  # about BLOCK_CHARS characters
-        shared = docs.sparkSession.sparkContext.broadcast(Items([r[0] for r in some], [r[1] for r in some], q, edits))
-        found = rows.mapInArrow(_finder(shared, carried, item_type), schema)
-        out = found if out is None else out.unionAll(found)
-    return out
+    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item")).where("item IS NOT NULL")
+    if size <= BLOCK_CHARS:
+        return rows.mapInArrow(_finder(_shared(items, q, edits), carried, item_type), schema)
+    # items without a q-gram, few characters each, are looked up as one block
+    short = F.udf(lambda t: len(normalised(t)[0]) < q, "boolean")
+    marked = store(items.withColumn("short", short("item")))
+    out = _joined_matches(rows, marked.where("NOT short").select("item_id", "item"), carried, text, schema, q, edits)
+    few = marked.where("short").select("item_id", "item")
+    return out if few.isEmpty() else out.unionAll(rows.mapInArrow(_finder(_shared(few, q, edits), carried, item_type), schema))
+
+
+def _shared(items: DataFrame, q: int, edits: float):
+    held = items.orderBy("item_id", "item").collect()  # about BLOCK_CHARS characters
+    return items.sparkSession.sparkContext.broadcast(Items([r[0] for r in held], [r[1] for r in held], q, edits))
+
+
+def _joined_matches(
+    rows: DataFrame, items: DataFrame, carried: list[str], text: str, schema: str, q: int, edits: float
+) -> DataFrame:
+    """What ``_finder`` finds for items of any size in all, by a join of q-grams."""
+    numbered = store(items.withColumn("nth", F.monotonically_increasing_id()))
+    grams = store(numbered.select("nth", "item").mapInArrow(_item_grams(q, edits), "gram long, nth long, place long, width long, bound long"))
+    bits = _gram_bits(grams, grams.count())
+    body = F.coalesce(text, F.lit(""))
+    # the same text in many rows is searched once
+    texts = rows.select(body.alias("body")).withColumns({"h1": F.xxhash64("body"), "h2": F.xxhash64(F.lit(1), "body")})
+    places = texts.mapInArrow(_text_grams(bits, q), "gram long, h1 long, h2 long, at long")
+    hits = places.join(grams, "gram")
+    band = F.floor((F.col("at") - F.col("place")) / F.col("width"))
+    near = (
+        hits.withColumn("band", F.explode(F.array(band, band - 1)))
+        .groupBy("h1", "h2", "nth", "band", "bound")
+        .agg(F.count_distinct("place").alias("met"))
+        .where("met >= bound")
+        .select("h1", "h2", "nth")
+        .distinct()
+    )
+    wanted = store(near.join(numbered, "nth").groupBy("h1", "h2").agg(F.collect_list(F.struct("item_id", "item")).alias("items")))
+    h1, h2, held = (fresh(rows, name) for name in ("_h1", "_h2", "_items"))
+    keyed = rows.withColumns({h1: F.xxhash64(body), h2: F.xxhash64(F.lit(1), body)})
+    few = keyed.where(may_hold(key_bits(wanted, "h1"), F.col(h1)))
+    pairs = few.join(wanted.withColumnsRenamed({"h1": h1, "h2": h2, "items": held}), [h1, h2])
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
+    return pairs.select(*carried, text, held).mapInArrow(_pair_finder(carried, item_type, q, edits), schema)
+
+
+def _item_grams(q: int, edits: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for nth, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                one = Items([nth], [body], q, edits)
+                gram = gram_hashes(one.codes[0], q).view(np.int64)
+                same = [np.full(len(gram), x, np.int64) for x in (nth, one.budget[0] + 1, one.bound[0])]
+                yield pa.record_batch(
+                    [pa.array(x) for x in (gram, same[0], np.arange(len(gram)), same[1], same[2])],
+                    ["gram", "nth", "place", "width", "bound"],
+                )
+
+    return run
+
+
+def _gram_bits(grams: DataFrame, count: int):
+    """A broadcast bit array of the q-grams."""
+    slots = 1 << max(6, min(math.ceil(math.log2(max(count * BITS_EACH, 2))), int(math.log2(MOST_BITS))) - 6)
+    at = F.pmod("gram", F.lit(slots * 64))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    found = grams.groupBy(F.shiftright(at, 6).alias("slot")).agg(F.bit_or(one).alias("mask")).toArrow()
+    bits = np.zeros(slots, np.uint64)
+    bits[found["slot"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return grams.sparkSession.sparkContext.broadcast(bits)
+
+
+def _text_grams(bits, q: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bits.value
+        mask = np.uint64(64 * len(held) - 1)
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for body, h1, h2 in zip(*columns, strict=True):
+                gram = gram_hashes(normalised(body)[0], q)
+                low = gram & mask
+                at = np.flatnonzero(held[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1))
+                if len(at):
+                    same = [np.full(len(at), h, np.int64) for h in (h1, h2)]
+                    yield pa.record_batch(
+                        [pa.array(x) for x in (gram[at].view(np.int64), *same, at)], ["gram", "h1", "h2", "at"]
+                    )
+
+    return run
+
+
+def _pair_finder(carried: list[str], item_type: pa.DataType, q: int, edits: float):
+    names = [*carried, "item_id", "start", "end", "edits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, lists = batch.column(len(carried)).to_pylist(), batch.column(len(carried) + 1).to_pylist()
+            for nth, (body, some) in enumerate(zip(texts, lists, strict=True)):
+                own = Items([x["item_id"] for x in some], [x["item"] for x in some], q, edits)
+                for _, j, start, end, off in matches(own, [body or ""]):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch.column(i).slice(nth, 1) for i in range(len(carried))),
+                            pa.array([own.ids[j]], item_type),
+                            *(pa.array([x], pa.int64()) for x in (start, end, off)),
+                        ],
+                        names=names,
+                    )
+
+    return run
 
 
 def _finder(shared, carried: list[str], item_type: pa.DataType):

@@ -292,6 +292,35 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     assert got.count() == len(items)
 
 
+@pytest.mark.parametrize("chars", [40, 300, 1500])
+def test_a_large_benchmark_is_joined(spark, monkeypatch, chars, tmp_path):
+    """The same matches as those of one block, from as many reads of the documents however large the benchmark is."""
+    from promolens.llm import decontaminate as module
+
+    rng, items, word = passages(11, n=12)
+    noise = [" ".join(rng.choices(" ".join(items).split(), k=300)) for _ in range(20)]
+    edited = []
+    for item in items:
+        near = list(item)
+        for _ in range(rng.randrange(len(item) // 12)):
+            near[rng.randrange(len(near))] = rng.choice(["", "q", "zz"])
+        edited.append(f"{word()} {''.join(near)} {word()}")
+    bodies = [*items, *noise, *edited, f"{items[0]} {items[0]} and Paris", None, "", items[1], items[1]]
+    rows = [(i if i % 7 else None, t, "x") for i, t in enumerate(bodies)]
+    spark.createDataFrame(rows, "doc_id long, text string, _h1 string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    held = [(i, t) for i, t in enumerate(items)] + [(50, items[2]), (90, None), (91, ""), (92, "Paris"), (93, "x" * 200)]
+    bench = spark.createDataFrame(held, "item_id int, text string")
+    whole = Counter(tuple(r) for r in benchmark_matches(docs, bench, keep=("_h1",)).collect())
+    assert len(whole) > 20
+    monkeypatch.setattr(module, "BLOCK_CHARS", chars)
+    joined = benchmark_matches(docs, bench, keep=("_h1",))
+    assert Counter(tuple(r) for r in joined.collect()) == whole
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Relation [doc_id") <= 2
+    assert benchmark_matches(docs.where("false"), bench).count() == 0
+    assert benchmark_matches(docs, bench.where("length(text) > 5 and item_id > 95")).count() == 0
+
+
 @pytest.mark.parametrize("others", [["an item that is longer than a q-gram"], []])
 def test_items_shorter_than_a_q_gram_match_as_words(others):
     shorts = ["Paris", "4 2", "東京", "a b", "--", "7 chars"]
