@@ -23,9 +23,11 @@ CHURN_AS_OF = dt.date(2001, 8, 15)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on(report: Callable[..., DataFrame], *names: str, dated: bool = False, **options) -> Query:
+def _on(
+    report: Callable[..., DataFrame], *names: str, dated: bool = False, by_campaign: bool = False, **options
+) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return report(StarTables(spark, folder).tables(*names, dated=dated), **options)
+        return report(StarTables(spark, folder).tables(*names, dated=dated, by_campaign=by_campaign), **options)
 
     return run
 
@@ -94,7 +96,7 @@ CHECKS: dict[str, Query] = {
     "dq_foreign_key": _on(quality.dq_foreign_key, _CR, _VI, _CA, _ME, _EV),
     "dq_domain": _on(quality.dq_domain, _CR, _VI, _CA, _EV),
     "dq_varchar_length": _on(quality.dq_varchar_length, _CR, _VI, _CA, _BE, _EV),
-    "dq_metric_in_flight": _on(quality.dq_metric_in_flight, _CA, _ME, dated=True),
+    "dq_metric_in_flight": _on(quality.dq_metric_in_flight, _CA, _ME, dated=True, by_campaign=True),
 }
 
 KEPT: dict[str, Query] = {"one_row_per_metric_id": _one_row, "campaign_totals_by_batch": _by_batch}

@@ -38,6 +38,9 @@ _SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
 }
 
+#: Daily rows in one task, about, where a task is dealt whole campaigns.
+TASK_ROWS = 500_000
+
 _START_DATE = "CAST(o_orderdate AS DATE)"
 _SPEND = (
     "CASE WHEN l_discount = 0 THEN CAST(0 AS DECIMAL(10,2)) "
@@ -109,10 +112,16 @@ class StarTables:
             f"CAST({_QUANTITY} * 1500 AS DECIMAL(10,2)) AS watch_time_mins",
         )
 
-    def campaign_daily_metrics(self, dated: bool = True) -> DataFrame:
+    def campaign_daily_metrics(self, dated: bool = True, by_campaign: bool = False) -> DataFrame:
         """Daily metrics. Dates count from the campaign's start, which is looked up if ``dated``;
-        otherwise, and for an unknown campaign, the date is NULL. The rows are the same."""
+        otherwise, and for an unknown campaign, the date is NULL. The rows are the same.
+
+        ``by_campaign`` deals them to tasks by campaign, more tasks the more rows there are, so that what
+        joins and groups them by campaign holds about ``TASK_ROWS`` at a time.
+        """
         metrics = self._undated_metrics()
+        if by_campaign and (tasks := self._read("lineitem").count() // TASK_ROWS) > 1:
+            metrics = metrics.repartition(tasks, "campaign_id")
         day = F.lit(None)
         if dated:
             starts = self._read("orders").selectExpr(
@@ -181,10 +190,10 @@ class StarTables:
         )
         return conform(shaped, "creator_events")
 
-    def tables(self, *names: str, dated: bool = False) -> CampaignTables:
-        """The named tables, or all of them; the metrics have dates if ``dated``."""
+    def tables(self, *names: str, dated: bool = False, by_campaign: bool = False) -> CampaignTables:
+        """The named tables, or all of them; ``dated`` and ``by_campaign`` are those of the metrics."""
         built = {
-            name: self.campaign_daily_metrics(dated) if name == METRICS.name else getattr(self, name)()
+            name: self.campaign_daily_metrics(dated, by_campaign) if name == METRICS.name else getattr(self, name)()
             for name in names or SPECS
         }
         return CampaignTables(**built)

@@ -171,3 +171,13 @@ def test_days_of_clean_campaigns_are_not_grouped(spark, tables):
     plan = plan_of(dq_metric_in_flight(tables))
     days = plan[plan.index("Aggregate [campaign_id#") :]
     assert "scalar-subquery" in days.split("Aggregate", 2)[1]
+
+
+def test_late_campaigns_are_found_once(tables):
+    """The days that are kept do not share a task with the days of all campaigns grouped once more."""
+
+    def below(node):
+        return [node, *(n for i in range(node.children().size()) for n in below(node.children().apply(i)))]
+
+    plan = dq_metric_in_flight(tables)._jdf.queryExecution().optimizedPlan()
+    assert [n.nodeName() for n in below(plan)].count("Aggregate") == 1
