@@ -16,7 +16,6 @@ import os
 import tempfile
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -33,6 +32,8 @@ from promolens.llm.common import chunks
 LEXICON_WORDS, LEXICON_CHARS = 100_000, 24
 #: Words that a task remembers beside the lexicon before it forgets them all.
 MEMO_WORDS = 200_000
+#: Characters that are encoded at a time. Their words are short strings, some 35 bytes of memory a character.
+ENCODE_CHARS = 500_000
 #: From so many symbols on, merges are taken from a heap.
 HEAP_FROM = 48
 CODES = 0x110000
@@ -294,9 +295,15 @@ class Lexicon:
         return " ".join(self.tokens[ids])
 
 
-@lru_cache(maxsize=1)
+_held: dict[str, Lexicon] = {}
+
+
 def _lexicon(name: str) -> Lexicon:
-    return Lexicon(SparkFiles.get(name))
+    """The lexicon of a file given out. A worker holds one, the last; it goes before another is read."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = Lexicon(SparkFiles.get(name))
+    return _held[name]
 
 
 def frequent_words(docs: DataFrame, *, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
@@ -367,19 +374,24 @@ def bpe(
     schema = ", ".join([f"`{doc_id}` {id_type}", *(f"{o} {OUTPUT[o]}" for o in outputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(name)
+        return _encoded(_lexicon(name), batches, [doc_id, *outputs])
+
+    return docs.select(doc_id, text).mapInArrow(run, schema)
+
+
+def _encoded(lexicon: Lexicon, batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """A task's rows, (id, text) in each batch. Words remembered for them are forgotten after the last."""
+    try:
         for batch in batches:
             ids_, texts = batch.column(0), batch.column(1)
             sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
-            for part in chunks([range(n) for n in sizes]):
+            for part in chunks([range(n) for n in sizes], ENCODE_CHARS):
                 n = part.stop - part.start
                 own = [t or "" for t in texts.slice(part.start, n).to_pylist()]
-                columns = _outputs(lexicon, own, outputs)
-                yield pa.RecordBatch.from_arrays(
-                    [ids_.slice(part.start, n), *columns], names=[doc_id, *outputs]
-                )
-
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+                columns = _outputs(lexicon, own, names[1:])
+                yield pa.RecordBatch.from_arrays([ids_.slice(part.start, n), *columns], names=names)
+    finally:
+        lexicon.memo = {}
 
 
 def _outputs(lexicon: Lexicon, texts: list[str], outputs: list[str]) -> list[pa.Array]:

@@ -3,9 +3,11 @@
 import hashlib
 import json
 import re
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_cases import DOCUMENTS, LINE, documents
 from pyspark.sql import functions as F
@@ -160,6 +162,37 @@ def test_merges_of_long_and_odd_words(reference):
             assert merger._short(list(symbols)) == merger._long(list(symbols))
 
 
+def test_a_task_encodes_little_at_a_time_and_forgets_its_words(reference, tmp_path, monkeypatch):
+    path = str(tmp_path / "lexicon")
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        Lexicon.write(path, json.load(f), ["word"])
+    lexicon, seen = Lexicon(path), []
+    whole = lexicon.encode
+    monkeypatch.setattr(lexicon, "encode", lambda texts: seen.append(sum(map(len, texts))) or whole(texts))
+    texts = [f"word {'unlisted' * (i % 3)} {i} " * 4000 for i in range(40)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(42)), "text": texts})
+    rows = [r for b in bpe_module._encoded(lexicon, [batch, batch], ["doc_id", "ids"]) for r in b.to_pylist()]
+    assert [r["ids"] for r in rows] == [reference.encode(t or "", add_special_tokens=False).ids for t in texts] * 2
+    assert sum(seen) > 2_000_000 > 600_000 > max(seen)
+    assert not lexicon.memo
+
+
+def test_a_worker_holds_one_lexicon(tmp_path, monkeypatch):
+    for name in ("a", "b"):
+        with open(vocabulary_path(), encoding="utf-8") as f:
+            Lexicon.write(str(tmp_path / name), json.load(f), ["word"])
+    monkeypatch.setattr(bpe_module, "SparkFiles", type("Files", (), {"get": staticmethod(lambda n: str(tmp_path / n))}))
+    first = bpe_module._lexicon("a")
+    assert bpe_module._lexicon("a") is first
+    gone = weakref.ref(first)
+    del first
+    held = []
+    read = Lexicon.__init__
+    monkeypatch.setattr(Lexicon, "__init__", lambda self, path: (held.append(gone()), read(self, path))[1])
+    bpe_module._lexicon("b")
+    assert held == [None]
+
+
 def test_automaton_is_minimal_and_numbers_words(tmp_path):
     words = sorted({a + b + c for a in ("un", "re", "") for b in ("do", "tie", "make") for c in ("", "s", "ing")})
     arrays = automaton(words)
